@@ -1,6 +1,9 @@
-"""Null tokens and type rules for field texts."""
+"""Null tokens and type rules for field texts.
 
-from functools import reduce
+The rules are SQL text over a field's name, to be used with `expr` or `selectExpr`:
+a feed has many fields, and one text per field is built faster than a tree of
+column objects.
+"""
 
 from pyspark.sql import Column, functions as F
 
@@ -14,20 +17,28 @@ NULL_TOKENS = (
 TRUE_WORDS = ("True", "TRUE", "true")
 FALSE_WORDS = ("False", "FALSE", "false")
 # Number syntax.
+SHORT_INTEGER = r"^\s*[+-]?\d{1,18}\s*$"
 INTEGER = r"^\s*[+-]?\d+\s*$"
-DECIMAL = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
-INFINITE = r"(?i)^\s*[+-]?inf(?:inity)?\s*$"
+NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"
 
 # Bits of a type mask: what a text, or every text of a column, can be read as.
 LONG, DOUBLE, BOOLEAN, INTEGRAL = 1, 2, 4, 8
 
 
-def null_if_token(text: Column) -> Column:
-    return F.when(~text.isin(*NULL_TOKENS), text)
+def words(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
-def all_missing(fields: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [f.isNull() | f.isin(*NULL_TOKENS) for f in fields])
+def is_missing(field: str) -> str:
+    return f"({field} IS NULL OR {field} IN ({words(NULL_TOKENS)}))"
+
+
+def null_if_token(field: str) -> str:
+    return f"CASE WHEN NOT {is_missing(field)} THEN {field} END"
+
+
+def all_missing(fields: list[str]) -> str:
+    return " AND ".join(is_missing(field) for field in fields)
 
 
 def strip_field(text: Column) -> Column:
@@ -35,39 +46,39 @@ def strip_field(text: Column) -> Column:
     return F.btrim(text, F.lit(" \t\r\n"))
 
 
-def type_mask(text: Column) -> Column:
-    """The readings one field allows; NULL for a missing value."""
-    return (
-        F.when(text.isNull() | text.isin(*NULL_TOKENS), F.lit(None))
-        .when(text.try_cast("bigint").isNotNull(), F.lit(LONG | DOUBLE | INTEGRAL))
-        .when(text.rlike(INTEGER), F.lit(DOUBLE | INTEGRAL))
-        .when(text.rlike(DECIMAL) | text.rlike(INFINITE), F.lit(DOUBLE))
-        .when(text.isin(*TRUE_WORDS, *FALSE_WORDS), F.lit(BOOLEAN))
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
-
+def type_mask(field: str) -> str:
+    """The readings one field allows; NULL for a missing value.
 
-def type_of_mask(mask: Column) -> Column:
+    Only numbers of 19 or more digits need a trial cast: a failed one is costly.
+    """
+    return f"""
+        CASE WHEN {is_missing(field)} THEN NULL
+             WHEN NOT {field} RLIKE r'{NUMBER}'
+             THEN IF({field} IN ({words(TRUE_WORDS + FALSE_WORDS)}), {BOOLEAN}, 0)
+             WHEN contains({field}, '.') THEN {DOUBLE}
+             WHEN {field} RLIKE r'{SHORT_INTEGER}' THEN {LONG | DOUBLE | INTEGRAL}
+             WHEN {field} RLIKE r'{INTEGER}'
+             THEN IF(try_cast({field} AS bigint) IS NULL, {DOUBLE | INTEGRAL}, {LONG | DOUBLE | INTEGRAL})
+             ELSE {DOUBLE} END"""
+
+
+def type_of_mask(mask: int | None) -> str:
     """The column type for the `bit_and` of its masks.
 
     Integers too long for 64 bits stay text; a column without any value is double.
     """
-    def can_be(bit: int) -> Column:
-        return mask.bitwiseAND(F.lit(bit)) != 0
-
-    return (
-        F.when(mask.isNull(), "double")
-        .when(can_be(LONG), "bigint")
-        .when(can_be(INTEGRAL), "string")
-        .when(can_be(DOUBLE), "double")
-        .when(can_be(BOOLEAN), "boolean")
-        .otherwise("string")
-    )
-
-
-def read_as(text: Column, type_name: str) -> Column:
-    value = null_if_token(text)
+    if mask is None:
+        return "double"
+    for bit, type_name in ((LONG, "bigint"), (INTEGRAL, "string"), (DOUBLE, "double"), (BOOLEAN, "boolean")):
+        if mask & bit:
+            return type_name
+    return "string"
+
+
+def read_as(field: str, type_name: str) -> str:
+    """A field as a type that `type_of_mask` found for its column."""
+    if type_name == "string":
+        return null_if_token(field)
     if type_name == "boolean":
-        return F.when(value.isNotNull(), value.isin(*TRUE_WORDS))
-    return value if type_name == "string" else value.try_cast(type_name)
+        return f"CASE WHEN NOT {is_missing(field)} THEN {field} IN ({words(TRUE_WORDS)}) END"
+    return f"try_cast({null_if_token(field)} AS {type_name})"

@@ -81,7 +81,7 @@ def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0
 def running_total(df: DataFrame, order: list, amount: str, name: str) -> DataFrame:
     """The `amount` of all earlier rows in `order`."""
     sliced = in_slices(df, order, "totals")
-    starts = settle(slice_starts(sliced, F.col(amount)), "starts")
+    starts = slice_starts(sliced, F.col(amount))
     earlier = Window.partitionBy("slice").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     return (
         sliced.withColumn("slice", task_of(F.col("at")))

@@ -36,8 +36,8 @@ PLACE_COLUMNS = ("first_row_at", "lasting", "lead", "rows_before")
 LINE_BREAK = "line break inside quotes"
 
 
-def fields_of(n: int) -> list[Column]:
-    return [F.col(f"rec._{i}") for i in range(n)]
+def fields_of(n: int) -> list[str]:
+    return [f"rec._{i}" for i in range(n)]
 
 
 def lines_to_records(lines: DataFrame, feed: Feed) -> DataFrame:
@@ -54,12 +54,14 @@ def read_records(spark: SparkSession, feed: Feed, path: str | list[str], glob: s
 
 def lasting(feed: Feed) -> Column:
     """Not blank, and at least one field with a value."""
-    return ~F.col("blank") & ~all_missing(fields_of(feed.columns))
+    return F.expr(f"NOT blank AND NOT ({all_missing(fields_of(feed.columns))})")
 
 
 def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
-    """One row per split.
+    """One row per split, and one more for a header line in it.
 
+    Header cells are a grouping key, not an aggregate: all aggregates then have
+    fixed-size buffers and are hashed in the scan's own tasks, without a sort.
     `lasting` counts rows with a value, `lead` those of them at or above the
     skipped line. Both depend on the line alone, so the final pass can drop the
     others before it takes row ids.
@@ -68,43 +70,36 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
         numbered = number_lines(records, settle(count_blocks(records), "blocks"))
     else:
         numbered = records.withColumn("line_no", F.lit(1).cast("bigint"))
-    below = F.col("line_no") > feed.skip
-    data = below & ~F.col("blank")
     fields = fields_of(feed.columns)
-    checked = [
+    below = f"line_no > {feed.skip}"
+    header = f"line_no = {feed.header_row}" if feed.header_row else "false"
+    checked = numbered.withColumn("is_lasting", lasting(feed)).selectExpr(
         "at",
         "file_size",
         "modified",
         *BLOCK,
-        data.alias("data"),
-        (lasting(feed) & ~below).alias("is_lead"),
-        lasting(feed).alias("is_lasting"),
-        F.when(F.col("line_no") == feed.header_row, F.array(*fields)).alias("cells")
-        if feed.header_row
-        else F.lit(None).cast("array<string>").alias("cells"),
         "width",
         "broken",
         "quotes",
-        *[F.when(data, type_mask(field)).alias(f"mask_{i}") for i, field in enumerate(fields)],
-    ]
-    is_header = F.col("cells").isNotNull()
-    return (
-        numbered.select(*checked)
-        .groupBy(*BLOCK)
-        .agg(
-            F.min("at").alias("first_at"),
-            F.count_if("is_lasting").alias("lasting"),
-            F.count_if("is_lead").alias("lead"),
-            F.max_by("cells", F.when(is_header, F.col("at"))).alias("cells"),
-            F.max(F.when(is_header, F.col("width"))).alias("header_width"),
-            F.min_by("width", F.when(F.col("data"), F.col("at"))).alias("first_width"),
-            F.max(F.when(F.col("data"), F.col("width"))).alias("max_width"),
-            F.max("broken").alias("broken"),
-            F.sum("quotes").alias("quotes"),
-            F.max("file_size").alias("file_size"),
-            F.max("modified").alias("modified"),
-            F.array(*[F.bit_and(f"mask_{i}") for i in range(feed.columns)]).alias("masks"),
-        )
+        "is_lasting",
+        f"is_lasting AND NOT {below} AS is_lead",
+        f"{below} AND NOT blank AS data",
+        f"{header} AS is_header",
+        f"CASE WHEN {header} THEN array({', '.join(fields)}) END AS cells",
+        *[f"CASE WHEN {below} AND NOT blank THEN {type_mask(field)} END AS mask_{i}" for i, field in enumerate(fields)],
+    )
+    return checked.groupBy(*BLOCK, "cells").agg(
+        F.min("at").alias("first_at"),
+        F.count_if("is_lasting").alias("lasting"),
+        F.count_if("is_lead").alias("lead"),
+        F.expr("max(width) FILTER (WHERE is_header)").alias("header_width"),
+        F.expr("min_by(width, at) FILTER (WHERE data)").alias("first_width"),
+        F.expr("max(width) FILTER (WHERE data)").alias("max_width"),
+        F.max("broken").alias("broken"),
+        F.sum("quotes").alias("quotes"),
+        F.max("file_size").alias("file_size"),
+        F.max("modified").alias("modified"),
+        F.expr(f"array({', '.join(f'bit_and(mask_{i})' for i in range(feed.columns))})").alias("masks"),
     )
 
 
@@ -113,14 +108,14 @@ def profile_files(blocks: DataFrame, feed: Feed) -> DataFrame:
     files = blocks.groupBy("file_path").agg(
         F.max("cells").alias("cells"),
         F.max("header_width").alias("header_width"),
-        F.min_by("first_width", F.when(F.col("first_width").isNotNull(), F.col("block_start"))).alias("first_width"),
+        F.expr("min_by(first_width, block_start) FILTER (WHERE first_width IS NOT NULL)").alias("first_width"),
         F.max("max_width").alias("max_width"),
         F.max("broken").alias("broken"),
         F.sum("quotes").alias("quotes"),
         F.max("file_size").alias("file_size"),
         F.max("modified").alias("modified"),
         F.sum(F.col("lasting") - F.col("lead")).alias("rows"),
-        F.array(*[F.bit_and(F.col("masks")[i]) for i in range(feed.columns)]).alias("masks"),
+        F.expr(f"array({', '.join(f'bit_and(masks[{i}])' for i in range(feed.columns))})").alias("masks"),
     )
     if feed.header_row:
         names = header_names(F.col("cells"))
@@ -170,19 +165,32 @@ class Profile:
     records: DataFrame
     blocks: DataFrame
     files: DataFrame
-
+    problems: list[str]
+    types: list[str]
+    places: list[int] | None  # None where files differ in their column order
 
     @property
     def good(self) -> DataFrame:
         return self.files.filter(F.col("problem").isNull())
 
-    def has(self, problem: str) -> bool:
-        return not self.files.filter(F.col("problem") == problem).isEmpty()
-
 
 def profile(feed: Feed, records: DataFrame) -> Profile:
     blocks = settle(profile_blocks(records, feed), "profile")
-    return Profile(feed, records, blocks, settle(profile_files(blocks, feed), "files"))
+    files = settle(profile_files(blocks, feed), "files")
+    good = "FILTER (WHERE problem IS NULL)"
+    masks = [f"bit_and(get(masks, places[{i}] - 1)) {good}" for i in range(feed.columns)]
+    verdict = files.selectExpr(
+        "collect_set(problem) AS problems",
+        f"array({', '.join(masks)}) AS masks",
+        f"min(places) {good} AS first_order",
+        f"max(places) {good} AS last_order",
+    ).first()
+    types = [
+        "string" if target in feed.as_text else type_of_mask(mask)
+        for target, mask in zip(feed.targets, verdict["masks"])
+    ]
+    places = verdict["first_order"] if verdict["first_order"] == verdict["last_order"] else None
+    return Profile(feed, records, blocks, files, verdict["problems"], types, places)
 
 
 def profile_paths(spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None = None) -> Profile:
@@ -192,51 +200,38 @@ def profile_paths(spark: SparkSession, feed: Feed, path: str | list[str], glob:
     read again record by record.
     """
     found = profile(feed, read_records(spark, feed, path, glob))
-    if feed.kind == "delimited" and found.has(LINE_BREAK):
+    if feed.kind == "delimited" and LINE_BREAK in found.problems:
         feed = replace(feed, multi_line=True)
         found = profile(feed, read_records(spark, feed, path, glob))
     return found
 
 
-def column_types(found: Profile) -> tuple[list[str], bool]:
-    """Type of every target over all good files, and whether their columns are in one order."""
-    feed = found.feed
-    masks = [F.bit_and(F.get("masks", F.col("places")[i] - 1)) for i in range(feed.columns)]
-    row = found.good.agg(
-        *[type_of_mask(mask).alias(f"type_{i}") for i, mask in enumerate(masks)],
-        F.equal_null(F.min("places"), F.max("places")).alias("one_order"),
-    ).first()
-    types = [
-        "string" if target in feed.as_text else row[f"type_{i}"] for i, target in enumerate(feed.targets)
-    ]
-    return types, row["one_order"]
-
-
 def row_offsets(found: Profile) -> DataFrame:
     """Per split of the good files: its first row id in the final pass and the rows before it."""
     in_task = Window.partitionBy(task_of(F.col("first_at"))).orderBy("first_at")
     earlier = in_task.rowsBetween(Window.unboundedPreceding, -1)
     first = F.shiftleft(task_of(F.col("first_at")), ID_BITS) + F.coalesce(F.sum("lasting").over(earlier), F.lit(0))
-    blocks = (
-        found.blocks.withColumn("first_row_at", first)
+    blocks = found.blocks.groupBy(*BLOCK).agg(
+        F.min("first_at").alias("first_at"), F.sum("lasting").alias("lasting"), F.sum("lead").alias("lead")
+    )
+    places = (
+        blocks.withColumn("first_row_at", first)
         .filter(F.col("lasting") > 0)
         .join(found.good, "file_path", "left_semi")
         .select(*BLOCK, "first_row_at", "lasting", "lead", (F.col("lasting") - F.col("lead")).alias("rows"))
     )
-    return running_total(blocks, list(BLOCK), "rows", "rows_before").drop("rows")
+    return running_total(places, list(BLOCK), "rows", "rows_before").drop("rows")
 
 
 def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
     """Typed columns of the kept rows, `rownum`, and what `offsets` adds beyond the row places."""
     feed = found.feed
-    types, one_order = column_types(found)
     fields = fields_of(feed.columns)
-    if one_order:
-        places = found.good.select("places").first()["places"]
-        sources = [fields[place - 1] for place in places]
+    if found.places is not None:
+        sources = [fields[place - 1] for place in found.places]
     else:
         offsets = offsets.join(found.files.select("file_path", "places"), "file_path")
-        sources = [F.get(F.array(*fields), F.col("places")[i] - 1) for i in range(feed.columns)]
+        sources = [f"get(array({', '.join(fields)}), places[{i}] - 1)" for i in range(feed.columns)]
     rows = (
         found.records.filter(lasting(feed))
         .select("rec", *BLOCK, F.monotonically_increasing_id().alias("row_at"))
@@ -244,7 +239,7 @@ def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
         .withColumn("place", place_in_block("row_at", "first_row_at", "lasting"))
         .filter(F.col("place") >= F.col("lead"))
     )
-    columns = [read_as(sources[i], types[i]).alias(feed.targets[i]) for i in feed.kept]
+    columns = [F.expr(read_as(sources[i], found.types[i])).alias(feed.targets[i]) for i in feed.kept]
     if feed.dated:
         columns.append(as_of_date(base_name(F.col("file_path"))).alias("asofdate"))
     added = [c for c in offsets.columns if c not in (*BLOCK, *PLACE_COLUMNS, "places")]

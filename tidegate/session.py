@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 MIN_SPLITS = "spark.sql.files.minPartitionNum"
+METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit"
+# Spark's default for the setting above, and the size the JVM compiles up to.
+DEFAULT_METHOD_BYTES, COMPILED_METHOD_BYTES = 65535, 8000
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -38,14 +41,18 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pin_splits(spark: SparkSession) -> None:
-    """Keep file splits equal between the passes over one set of files.
+def tune_scans(spark: SparkSession) -> None:
+    """Scan settings, where the session has none of its own.
 
-    Split size otherwise follows the number of executors alive when each pass is
-    planned, which changes under dynamic allocation.
+    Split size otherwise follows the number of executors alive when each pass over
+    the same files is planned, which changes under dynamic allocation. And feeds
+    have many columns, so generated methods outgrow what the JVM compiles; beyond
+    that size Spark's smaller ones are faster.
     """
     if spark.conf.get(MIN_SPLITS, None) is None:
         spark.conf.set(MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
+    if int(spark.conf.get(METHOD_BYTES)) == DEFAULT_METHOD_BYTES:
+        spark.conf.set(METHOD_BYTES, str(COMPILED_METHOD_BYTES))
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.session import pin_splits
+from tidegate.session import tune_scans
 from tidegate.sources.lines import FILE_COLUMNS, file_columns
 
 
@@ -72,7 +72,7 @@ def multi_line_records(
     spark: SparkSession, path: str | list[str], sep: str, columns: int, glob: str | None = None
 ) -> DataFrame:
     """Records whose quoted fields may hold line breaks; one task reads one file."""
-    pin_splits(spark)
+    tune_scans(spark)
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
     rows = (
         reader.options(**csv_options(sep), multiLine="true", columnNameOfCorruptRecord="_whole")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.session import pin_splits
+from tidegate.session import tune_scans
 
 FILE_COLUMNS = ("file_path", "block_start", "file_size", "modified")
 
@@ -17,6 +17,6 @@ def file_columns() -> list[Column]:
 
 
 def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    pin_splits(spark)
+    tune_scans(spark)
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
     return reader.text(path).select("value", *file_columns())
