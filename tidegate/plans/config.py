@@ -179,3 +179,9 @@ def load_feeds(configs: DataFrame, mapping: DataFrame | None = None, multi_line:
         for spec in field_specs(mapping).collect():
             specs.setdefault(spec["client_file_config_id"], []).append(spec.asDict())
     return [feed_of(row.asDict(), specs.get(row["clientfileconfigid"], []), multi_line) for row in rows]
+
+
+def unmapped_configs(configs: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Configs none of whose fields are mapped; all their files are rejected."""
+    mapped = mapping.select(F.col("client_file_config_id").alias("clientfileconfigid"))
+    return configs.join(mapped, "clientfileconfigid", "left_anti")
