@@ -143,7 +143,8 @@ def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = write_lines(in_order(table(spark, sf_dir, "lineitem"), *order), lineitem_line(), "lineitem-order")
     lines = read_lines(spark, folder).withColumn("at", F.monotonically_increasing_id())
     blocks = settle(count_blocks(lines), "blocks")
-    files = running_total(blocks.groupBy("file_path").agg(F.sum("lines").alias("n")), ["file_path"], "n", "earlier")
+    totals = blocks.groupBy("file_path").agg(F.sum("lines").alias("n"))
+    files = running_total(totals, blocks.count(), ["file_path"], "n", "earlier")
     cells = F.split("value", ",")
     return (
         number_lines(lines, blocks)

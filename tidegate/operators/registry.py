@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions.paths import base_name, folder, time_text
-from tidegate.operators.numbering import number_rows
+from tidegate.operators.numbering import number_few
+from tidegate.session import settle
 
 # The two outcomes and their folders.
 STAGED, REJECTED = "InStage", "Rejected"
@@ -12,7 +13,8 @@ FOLDERS = {STAGED: "Processed", REJECTED: "Rejected"}
 
 def assign_ids(files: DataFrame, last_id: int = 0) -> DataFrame:
     """`fileid` from `last_id + 1` on, by config and path."""
-    return number_rows(files, ["clientfileconfigid", "file_path"], name="fileid", start=last_id)
+    found = settle(files, "found")
+    return number_few(found, found.count(), ["clientfileconfigid", "file_path"], "fileid", last_id)
 
 
 def registry_rows(files: DataFrame) -> DataFrame:

@@ -115,6 +115,7 @@ def profile_files(blocks: DataFrame, feed: Feed) -> DataFrame:
         F.max("file_size").alias("file_size"),
         F.max("modified").alias("modified"),
         F.sum(F.col("lasting") - F.col("lead")).alias("rows"),
+        F.count(F.lit(1)).alias("splits"),
         F.expr(f"array({', '.join(f'bit_and(masks[{i}])' for i in range(feed.columns))})").alias("masks"),
     )
     if feed.header_row:
@@ -153,7 +154,7 @@ def profile_files(blocks: DataFrame, feed: Feed) -> DataFrame:
             F.when(as_of_date(base_name(F.col("file_path"))).isNull(), "no as-of date in the file name"),
         )
     return files.select(
-        "file_path", "file_size", "modified", "rows", "masks", "places", problem.alias("problem")
+        "file_path", "file_size", "modified", "rows", "splits", "masks", "places", problem.alias("problem")
     )
 
 
@@ -167,6 +168,8 @@ class Profile:
     files: DataFrame
     problems: list[str]
     types: list[str]
+    n_good: int
+    n_splits: int
     places: list[int] | None  # None where files differ in their column order
 
     @property
@@ -176,11 +179,13 @@ class Profile:
 
 def profile(feed: Feed, records: DataFrame) -> Profile:
     blocks = settle(profile_blocks(records, feed), "profile")
-    files = settle(profile_files(blocks, feed), "files")
+    files = profile_files(blocks, feed)
     good = "FILTER (WHERE problem IS NULL)"
     masks = [f"bit_and(get(masks, places[{i}] - 1)) {good}" for i in range(feed.columns)]
     verdict = files.selectExpr(
         "collect_set(problem) AS problems",
+        f"count(*) {good} AS n_good",
+        "coalesce(sum(splits), 0) AS n_splits",
         f"array({', '.join(masks)}) AS masks",
         f"min(places) {good} AS first_order",
         f"max(places) {good} AS last_order",
@@ -190,7 +195,8 @@ def profile(feed: Feed, records: DataFrame) -> Profile:
         for target, mask in zip(feed.targets, verdict["masks"])
     ]
     places = verdict["first_order"] if verdict["first_order"] == verdict["last_order"] else None
-    return Profile(feed, records, blocks, files, verdict["problems"], types, places)
+    counts = verdict["n_good"], verdict["n_splits"]
+    return Profile(feed, records, blocks, files, verdict["problems"], types, *counts, places)
 
 
 def profile_paths(spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None = None) -> Profile:
@@ -220,7 +226,7 @@ def row_offsets(found: Profile) -> DataFrame:
         .join(found.good, "file_path", "left_semi")
         .select(*BLOCK, "first_row_at", "lasting", "lead", (F.col("lasting") - F.col("lead")).alias("rows"))
     )
-    return running_total(places, list(BLOCK), "rows", "rows_before").drop("rows")
+    return running_total(places, found.n_splits, list(BLOCK), "rows", "rows_before").drop("rows")
 
 
 def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
