@@ -61,8 +61,8 @@ def slice_starts(sliced: DataFrame, amount: Column) -> DataFrame:
     return (
         sliced.groupBy(task_of(F.col("at")).alias("slice"))
         .agg(F.min("at").alias("first_at"), F.sum(amount).alias("amount"))
-        .withColumn("before", F.coalesce(F.sum("amount").over(earlier), F.lit(0)))
-        .select("slice", "first_at", "before")
+        .withColumn("in_earlier_slices", F.coalesce(F.sum("amount").over(earlier), F.lit(0)))
+        .select("slice", "first_at", "in_earlier_slices")
     )
 
 
@@ -70,12 +70,12 @@ def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0
     """`start + 1`, `start + 2`, ... in `order`."""
     sliced = in_slices(df, order, "numbered")
     starts = settle(slice_starts(sliced, F.lit(1)), "starts")
-    number = F.col("before") + F.col("at") - F.col("first_at") + F.lit(start + 1)
+    number = F.col("in_earlier_slices") + F.col("at") - F.col("first_at") + F.lit(start + 1)
     return (
         sliced.withColumn("slice", task_of(F.col("at")))
         .join(starts, "slice")
         .withColumn(name, number.cast("bigint"))
-        .drop("slice", "at", "first_at", "before")
+        .drop("slice", "at", "first_at", "in_earlier_slices")
     )
 
 
@@ -99,6 +99,6 @@ def running_total(df: DataFrame, count: int, order: list, amount: str, name: str
         sliced.withColumn("slice", task_of(F.col("at")))
         .withColumn(name, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
         .join(starts.drop("first_at"), "slice")
-        .withColumn(name, F.col(name) + F.col("before"))
-        .drop("slice", "at", "before")
+        .withColumn(name, F.col(name) + F.col("in_earlier_slices"))
+        .drop("slice", "at", "in_earlier_slices")
     )

@@ -11,7 +11,8 @@ SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """The files directly under `folders`, as they are now; no file is opened.
 
-    The scan is planned with very large splits, because it reads names only.
+    Spark's file sources pass over files of zero bytes and names that start with a
+    dot or an underscore. The scan is planned with very large splits, because it reads names only.
     """
     present = [f for f in folders if path_exists(spark, f)]
     if not present:
