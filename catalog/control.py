@@ -84,16 +84,12 @@ def config_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mapping row per customer, the fields of one nation following each other."""
-    from pyspark.sql import Window
-
-    earlier = Window.partitionBy("c_nationkey").orderBy("c_custkey").rowsBetween(Window.unboundedPreceding, -1)
-    length = F.length("c_mktsegment")
+    """A mapping row per customer, a config per nation."""
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("fixedwidth_field_mapping_id"),
         F.col("c_nationkey").alias("client_file_config_id"),
-        (F.coalesce(F.sum(length).over(earlier), F.lit(0)) + 2).alias("starting_position"),
-        length.alias("length"),
+        (F.col("c_custkey") % 400 + 2).alias("starting_position"),
+        F.length("c_mktsegment").alias("length"),
         F.col("c_name").alias("field_mapped_to"),
     )
 
@@ -198,10 +194,9 @@ ORACLES = {
         FROM ({CONFIG_SQL}) AS c""",
     "fixed_width_spec": """
         SELECT c_nationkey AS client_file_config_id, c_custkey AS fixedwidth_field_mapping_id,
-               CAST(run - len AS BIGINT) AS start_pos, CAST(run AS BIGINT) AS end_pos, c_name AS field_mapped_to
-        FROM (SELECT *, length(c_mktsegment) AS len,
-                     sum(length(c_mktsegment)) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS run
-              FROM customer) AS c""",
+               c_custkey % 400 AS start_pos, c_custkey % 400 + length(c_mktsegment) AS end_pos,
+               c_name AS field_mapped_to
+        FROM customer""",
     "schema_order": """
         SELECT p_brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY size) - 1 AS BIGINT) AS pos,
                size AS source, 'SIZE' || size AS target

@@ -12,7 +12,7 @@ from tidegate.plans.config import unmapped_configs
 from tidegate.plans.stage import profile_paths, staged_rows
 from tidegate.plans.stores import ParquetStore
 from tidegate.plans.summary import load_summary
-from tidegate.session import new_folder
+from tidegate.session import new_folder, settle
 from tidegate.sources.jdbc import read_table, write_table
 from tidegate.sources.listing import match_files
 from tidegate.streaming.pickup import pick_up
@@ -41,7 +41,7 @@ def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("clientfileconfigid") % 3 == 1, "*")
         .otherwise("1*").alias("filemask"),
     )
-    return match_files(document_files(spark, sf_dir), configs).select("clientfileconfigid", "doc_id", "key")
+    return match_files(document_files(spark, sf_dir), settle(configs, "configs")).select("clientfileconfigid", "doc_id", "key")
 
 
 def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

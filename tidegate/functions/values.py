@@ -49,17 +49,20 @@ def strip_field(text: Column) -> Column:
 def type_mask(field: str) -> str:
     """The readings one field allows; NULL for a missing value.
 
-    Only numbers of 19 or more digits need a trial cast: a failed one is costly.
+    Most fields are decided by their first character and one pattern. Only numbers
+    of 19 or more digits need a trial cast: a failed one is costly.
     """
+    any_integer = LONG | DOUBLE | INTEGRAL
     return f"""
         CASE WHEN {is_missing(field)} THEN NULL
-             WHEN NOT {field} RLIKE r'{NUMBER}'
+             WHEN NOT (ascii({field}) <= {ord('9')} OR ascii({field}) IN ({ord('I')}, {ord('i')}))
              THEN IF({field} IN ({words(TRUE_WORDS + FALSE_WORDS)}), {BOOLEAN}, 0)
-             WHEN contains({field}, '.') THEN {DOUBLE}
-             WHEN {field} RLIKE r'{SHORT_INTEGER}' THEN {LONG | DOUBLE | INTEGRAL}
+             WHEN contains({field}, '.') THEN IF({field} RLIKE r'{NUMBER}', {DOUBLE}, 0)
+             WHEN {field} RLIKE r'{SHORT_INTEGER}' THEN {any_integer}
              WHEN {field} RLIKE r'{INTEGER}'
-             THEN IF(try_cast({field} AS bigint) IS NULL, {DOUBLE | INTEGRAL}, {LONG | DOUBLE | INTEGRAL})
-             ELSE {DOUBLE} END"""
+             THEN IF(try_cast({field} AS bigint) IS NULL, {DOUBLE | INTEGRAL}, {any_integer})
+             WHEN {field} RLIKE r'{NUMBER}' THEN {DOUBLE}
+             ELSE 0 END"""
 
 
 def type_of_mask(mask: int | None) -> str:

@@ -52,7 +52,7 @@ def in_slices(df: DataFrame, order: list, label: str) -> DataFrame:
     its rows apart.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return settle(ranged.withColumn("at", F.monotonically_increasing_id()), label)
+    return settle(ranged.withColumn("at", F.monotonically_increasing_id()), label, compact=True)
 
 
 def slice_starts(sliced: DataFrame, amount: Column) -> DataFrame:

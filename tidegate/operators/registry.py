@@ -13,8 +13,8 @@ FOLDERS = {STAGED: "Processed", REJECTED: "Rejected"}
 
 def assign_ids(files: DataFrame, last_id: int = 0) -> DataFrame:
     """`fileid` from `last_id + 1` on, by config and path."""
-    found = settle(files, "found")
-    return number_few(found, found.count(), ["clientfileconfigid", "file_path"], "fileid", last_id)
+    order = ["clientfileconfigid", "file_path"]
+    return settle(number_few(files, files.count(), order, "fileid", last_id), "registered")
 
 
 def registry_rows(files: DataFrame) -> DataFrame:
@@ -36,8 +36,13 @@ def registry_rows(files: DataFrame) -> DataFrame:
 
 
 def latest_status(events: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
-    """The last `processstatus` of every file."""
-    return events.groupBy(*keys).agg(F.max_by("processstatus", order).alias("processstatus"))
+    """The last `processstatus` of every file.
+
+    A log is first reduced to one number per file and status, which is hashed in
+    the tasks that read it.
+    """
+    reduced = events.groupBy(*keys, "processstatus").agg(F.max(order).alias(order))
+    return reduced.groupBy(*keys).agg(F.max_by("processstatus", order).alias("processstatus"))
 
 
 def destination(status: Column, path: Column) -> Column:

@@ -73,7 +73,9 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
     fields = fields_of(feed.columns)
     below = f"line_no > {feed.skip}"
     header = f"line_no = {feed.header_row}" if feed.header_row else "false"
-    checked = numbered.withColumn("is_lasting", lasting(feed)).selectExpr(
+    masks = [f"mask_{i}" for i in range(feed.columns)]
+    masked = numbered.select("*", *[F.expr(type_mask(f)).alias(m) for f, m in zip(fields, masks)])
+    checked = masked.selectExpr(
         "at",
         "file_size",
         "modified",
@@ -81,17 +83,17 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
         "width",
         "broken",
         "quotes",
-        "is_lasting",
-        f"is_lasting AND NOT {below} AS is_lead",
+        f"NOT blank AND coalesce({', '.join(masks)}) IS NOT NULL AS is_lasting",
         f"{below} AND NOT blank AS data",
+        f"NOT {below} AS above",
         f"{header} AS is_header",
         f"CASE WHEN {header} THEN array({', '.join(fields)}) END AS cells",
-        *[f"CASE WHEN {below} AND NOT blank THEN {type_mask(field)} END AS mask_{i}" for i, field in enumerate(fields)],
+        *masks,
     )
     return checked.groupBy(*BLOCK, "cells").agg(
         F.min("at").alias("first_at"),
         F.count_if("is_lasting").alias("lasting"),
-        F.count_if("is_lead").alias("lead"),
+        F.expr("count_if(is_lasting AND above)").alias("lead"),
         F.expr("max(width) FILTER (WHERE is_header)").alias("header_width"),
         F.expr("min_by(width, at) FILTER (WHERE data)").alias("first_width"),
         F.expr("max(width) FILTER (WHERE data)").alias("max_width"),
@@ -99,7 +101,7 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
         F.sum("quotes").alias("quotes"),
         F.max("file_size").alias("file_size"),
         F.max("modified").alias("modified"),
-        F.expr(f"array({', '.join(f'bit_and(mask_{i})' for i in range(feed.columns))})").alias("masks"),
+        F.expr(f"array({', '.join(f'bit_and({mask}) FILTER (WHERE data)' for mask in masks)})").alias("masks"),
     )
 
 

@@ -28,16 +28,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     """Write `df` to the shared folder and go on from the written table.
 
-    The table outlives its executors, later plans see its real size (so Spark
-    broadcasts it only while it is below the session's threshold), and values
-    that depend on the task that made them stay as they were written.
+    The table outlives its executors, and values that depend on the task that made
+    them stay as they were written. Unless `compact`, values are written plainly,
+    so the file size that Spark compares with its broadcast threshold is their
+    real size: below it a join broadcasts the table, beyond it both sides shuffle.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    plain = {"compression": "none", "parquet.enable.dictionary": "false"}
+    df.write.options(**({} if compact else plain)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
