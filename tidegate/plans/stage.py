@@ -240,12 +240,15 @@ def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
     else:
         offsets = offsets.join(found.files.select("file_path", "places"), "file_path")
         sources = [f"get(array({', '.join(fields)}), places[{i}] - 1)" for i in range(feed.columns)]
+    # Row ids never pass line ids. Asking for it keeps `at` in the plan, and with it
+    # the filter above the parsing projection: each line is parsed once.
+    in_step = F.col("row_at") <= F.col("at")
     rows = (
         found.records.filter(lasting(feed))
-        .select("rec", *BLOCK, F.monotonically_increasing_id().alias("row_at"))
+        .select("at", "rec", *BLOCK, F.monotonically_increasing_id().alias("row_at"))
         .join(settle(offsets, "offsets"), list(BLOCK))
         .withColumn("place", place_in_block("row_at", "first_row_at", "lasting"))
-        .filter(F.col("place") >= F.col("lead"))
+        .filter((F.col("place") >= F.col("lead")) & in_step)
     )
     columns = [F.expr(read_as(sources[i], found.types[i])).alias(feed.targets[i]) for i in feed.kept]
     if feed.dated:
