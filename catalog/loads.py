@@ -208,7 +208,7 @@ def stream_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = write_lines(spread(table(spark, sf_dir, "orders")), delimited(",", *columns), "orders-stream", "Key,Status,Price")
     store = ParquetStore(new_folder(spark, "warehouse"))
     mapping = {"Key": "ORDERKEY", "Status": "STATUS", "Price": "PRICE"}
-    half = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, 1)
+    half = max(spark.sparkContext.defaultParallelism // 2, 1)
     query = pick_up(
         spark,
         feed(mapping, srcfilepath=folder),

@@ -24,13 +24,13 @@ def delimited(sep: str, *columns: Column) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """As many files as the session has shuffle partitions."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """As many files as the cluster runs tasks at once."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def in_order(df: DataFrame, *order: str) -> DataFrame:
     """Files whose names and lines follow `order`."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 

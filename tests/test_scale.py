@@ -44,14 +44,27 @@ def test_rows_without_any_broadcast(spark, write, large):
     assert rows == WANT
 
 
-def test_run_without_any_broadcast(spark, write, large, tmp_path):
-    folder = write(files(6))
+def arrive_late(module, monkeypatch, write, names):
+    """Write files of the feed after its listing was taken."""
+    listed = module.discover
+
+    def discover(*args):
+        found = listed(*args)
+        write(names)
+        return found
+
+    monkeypatch.setattr(module, "discover", discover)
+
+
+def test_run_without_any_broadcast(spark, write, large, tmp_path, monkeypatch):
+    folder = write(files(6) | {"g_1.csv": "x\na,b\nq,r\n"})
     configs = spark.createDataFrame(
         [(1, 7, 2, folder, "f_*", repr(AB), True, 2, None, ",", "csv")],
         "clientfileconfigid int, clientid int, filetypeid int, srcfilepath string, filemask string, columnstring string, "
         "hasheader boolean, headerrownumber int, datastartingrownumber int, textdelimiter string, fileextension string",
     )
     store = ParquetStore(str(tmp_path / "out"))
+    arrive_late(batch, monkeypatch, write, {"f_0a.csv": "x\na,b\ntext,y\n"})
     run_load(spark, configs, None, store)
     rows = store.read(spark, "Raw_Trades").orderBy("rownum").collect()
     assert [(r["a"], r["b"], r["fileid"], r["rownum"]) for r in rows] == [

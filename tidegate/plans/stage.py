@@ -179,9 +179,12 @@ class Profile:
         return self.files.filter(F.col("problem").isNull())
 
 
-def profile(feed: Feed, records: DataFrame) -> Profile:
+def profile(feed: Feed, records: DataFrame, only: DataFrame | None = None) -> Profile:
+    """Run the first two passes; `only` names the files (file_path) that count, if not all do."""
     blocks = settle(profile_blocks(records, feed), "profile")
     files = profile_files(blocks, feed)
+    if only is not None:
+        files = files.join(only.select("file_path"), "file_path", "left_semi")
     good = "FILTER (WHERE problem IS NULL)"
     masks = [f"bit_and(get(masks, places[{i}] - 1)) {good}" for i in range(feed.columns)]
     verdict = files.selectExpr(
@@ -201,16 +204,22 @@ def profile(feed: Feed, records: DataFrame) -> Profile:
     return Profile(feed, records, blocks, files, verdict["problems"], types, *counts, places)
 
 
-def profile_paths(spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None = None) -> Profile:
+def profile_paths(
+    spark: SparkSession,
+    feed: Feed,
+    path: str | list[str],
+    glob: str | None = None,
+    only: DataFrame | None = None,
+) -> Profile:
     """The profile of files on storage.
 
     A line-wise scan cannot see quoted line breaks; if it meets one, the feed is
     read again record by record.
     """
-    found = profile(feed, read_records(spark, feed, path, glob))
+    found = profile(feed, read_records(spark, feed, path, glob), only)
     if feed.kind == "delimited" and LINE_BREAK in found.problems:
         feed = replace(feed, multi_line=True)
-        found = profile(feed, read_records(spark, feed, path, glob))
+        found = profile(feed, read_records(spark, feed, path, glob), only)
     return found
 
 
