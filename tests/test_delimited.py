@@ -157,7 +157,8 @@ COLUMNS = {
     "infinite": ["inf", "-Infinity", "1", "+INF"],
     "bools": ["True", "FALSE", "true", "False"],
     "bools_null": ["True", "", "null", "false"],
-    "not_bools": ["True", "tRUE", "true", "false"],
+    "bool_casings": ["True", "tRUE", "true", "falSE"],
+    "not_bools": ["True", "tru", " true", "false"],
     "bool_int": ["True", "1", "0", "false"],
     "text": ["a", " b ", "NA", "1"],
     "suffixed": ["1d", "2f", "3", "4"],

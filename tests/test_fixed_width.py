@@ -69,3 +69,10 @@ def test_across_splits(spark, write, tiny_splits):
 def test_file_without_data_is_rejected(spark, write):
     feed = fixed(spec(0, 2, "code"), datastartingrownumber=2)
     assert load(spark, write({"x.txt": "only a header\n"}), feed)[2] == {"x.txt": "empty file"}
+
+
+def test_booleans_have_three_casings(spark, write):
+    text = "True tRuE True\nFALSEtrue \n"
+    rows, types, _ = load(spark, write({"x.txt": text}), fixed(spec(0, 5, "a"), spec(5, 10, "b"), spec(10, 15, "c")))
+    assert rows == [(True, "tRuE", True), (False, "true", None)]
+    assert (types["a"], types["b"], types["c"]) == ("boolean", "string", "boolean")

@@ -13,7 +13,7 @@ NULL_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
-# Spellings of the two booleans.
+# Spellings of the two booleans. Delimited files take any casing.
 TRUE_WORDS = ("True", "TRUE", "true")
 FALSE_WORDS = ("False", "FALSE", "false")
 # Number syntax.
@@ -46,9 +46,17 @@ def strip_field(text: Column) -> Column:
     return F.btrim(text, F.lit(" \t\r\n"))
 
 
-def type_mask(field: str) -> str:
+def is_boolean(field: str, any_case: bool) -> str:
+    if any_case:
+        return f"octet_length({field}) <= 5 AND lower({field}) IN ('true', 'false')"
+    return f"{field} IN ({words(TRUE_WORDS + FALSE_WORDS)})"
+
+
+def type_mask(field: str, any_case: bool = True) -> str:
     """The readings one field allows; NULL for a missing value.
 
+    `any_case` lets booleans be spelled in any casing, not only in three.
+
     Most fields are decided by their first character and one pattern. Only numbers
     of 19 or more digits need a trial cast: a failed one is costly.
     """
@@ -56,7 +64,7 @@ def type_mask(field: str) -> str:
     return f"""
         CASE WHEN {is_missing(field)} THEN NULL
              WHEN NOT (ascii({field}) <= {ord('9')} OR ascii({field}) IN ({ord('I')}, {ord('i')}))
-             THEN IF({field} IN ({words(TRUE_WORDS + FALSE_WORDS)}), {BOOLEAN}, 0)
+             THEN IF({is_boolean(field, any_case)}, {BOOLEAN}, 0)
              WHEN contains({field}, '.') THEN IF({field} RLIKE r'{NUMBER}', {DOUBLE}, 0)
              WHEN {field} RLIKE r'{SHORT_INTEGER}' THEN {any_integer}
              WHEN {field} RLIKE r'{INTEGER}'
@@ -83,5 +91,5 @@ def read_as(field: str, type_name: str) -> str:
     if type_name == "string":
         return null_if_token(field)
     if type_name == "boolean":
-        return f"CASE WHEN NOT {is_missing(field)} THEN {field} IN ({words(TRUE_WORDS)}) END"
+        return f"CASE WHEN NOT {is_missing(field)} THEN lower({field}) = 'true' END"
     return f"try_cast({null_if_token(field)} AS {type_name})"

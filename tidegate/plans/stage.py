@@ -74,7 +74,8 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
     below = f"line_no > {feed.skip}"
     header = f"line_no = {feed.header_row}" if feed.header_row else "false"
     masks = [f"mask_{i}" for i in range(feed.columns)]
-    masked = numbered.select("*", *[F.expr(type_mask(f)).alias(m) for f, m in zip(fields, masks)])
+    any_case = feed.kind != "fixed"
+    masked = numbered.select("*", *[F.expr(type_mask(f, any_case)).alias(m) for f, m in zip(fields, masks)])
     checked = masked.selectExpr(
         "at",
         "file_size",
