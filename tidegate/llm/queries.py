@@ -1,8 +1,11 @@
 """The registered queries of the training-data operators, and their SQL where there is one."""
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import decontamination
+from tidegate.llm import bpe, decontamination, secrets
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +22,28 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(read(spark, sf_dir, "documents"), bpe.read_ranks(tokenizers.path(RANKS)))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, sf_dir, "documents"))
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda span: span["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in secrets.BASE_KINDS),
+        F.sha2(secrets.span_text(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op6_decontamination": op6_decontamination,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_secrets": op9_secrets,
 }
 
 WORDS_SQL = r"""regexp_extract_all(
