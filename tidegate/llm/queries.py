@@ -3,7 +3,7 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, decontamination, secrets
+from tidegate.llm import bpe, decontamination, dedup, licences, near, secrets
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -12,6 +12,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.find_copies(read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_benchmark_words(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -22,6 +26,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.find_licences(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("licences").cast("bigint").alias("n_licences"),
+        F.array_join("licences", ",").alias("licences"),
+        "best_dice",
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(read(spark, sf_dir, "documents"), bpe.read_ranks(tokenizers.path(RANKS)))
 
@@ -40,17 +54,61 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.find_near_copies(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_equal")
+
+
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_licences": op7_licences,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secrets": op9_secrets,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 WORDS_SQL = r"""regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+SEGMENTS_SQL = r"""list_distinct(string_split(t, chr(10))
+        || list_filter(regexp_split_to_array(t, '\n\s*\n'), lambda p: contains(p, chr(10)))
+        || CASE WHEN regexp_matches(t, '\n\s*\n') THEN [t] ELSE [] END)"""
+
+
+def pairs_sql(words: str) -> str:
+    return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+TEMPLATES_SQL = ", ".join(f"({i}, {literal(a)}, {literal(b)})" for i, (a, b) in enumerate(licences.TEMPLATES))
+
 ORACLES = {
+    "op2_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op7_licences": rf"""
+        WITH template_pairs AS (
+            SELECT no, licence, len(pairs) AS b, unnest(pairs) AS pair
+            FROM (SELECT no, licence, {pairs_sql("w")} AS pairs
+                  FROM (SELECT no, licence, {WORDS_SQL} AS w FROM (VALUES {TEMPLATES_SQL}) v(no, licence, text)))),
+        segments AS (SELECT doc_id, unnest({SEGMENTS_SQL}) AS text FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+        paired AS (
+            SELECT doc_id, text, len(pairs) AS a, unnest(pairs) AS pair
+            FROM (SELECT doc_id, text, {pairs_sql("w")} AS pairs FROM (SELECT doc_id, text, {WORDS_SQL} AS w FROM segments))),
+        scored AS (
+            SELECT doc_id, licence, 2.0::DOUBLE * count(*) / (any_value(a) + any_value(b)) AS dice
+            FROM paired JOIN template_pairs USING (pair) GROUP BY doc_id, text, no, licence),
+        best AS (
+            SELECT doc_id, count(DISTINCT licence) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS names, max(dice) AS dice
+            FROM scored WHERE dice >= {licences.THRESHOLD} GROUP BY doc_id)
+        SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_licences, coalesce(names, '') AS licences,
+               coalesce(dice, 0) AS best_dice
+        FROM documents LEFT JOIN best USING (doc_id)""",
     "op6_decontamination": rf"""
         WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
         items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
