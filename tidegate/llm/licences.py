@@ -2,7 +2,7 @@
 
 A text is compared in segments: each line, each paragraph of several lines, and the
 whole text if it has several paragraphs. A segment's words are its runs of ASCII
-letters and digits and of characters beyond ASCII, A-Z lower-cased; its features are
+letters and digits and of characters beyond ASCII, lower-cased; its features are
 its distinct pairs of neighbouring words. With a pairs and b pairs, a Dice
 coefficient of t needs a * t / (2 - t) <= b <= a * (2 - t) / t, which leaves few
 templates for a segment, and none for most. What is left is joined on pairs.
@@ -17,8 +17,7 @@ that repeat get a row each; other columns are left alone.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 THRESHOLD = 0.8
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # The notices of common licences, by SPDX identifier.
 TEMPLATES = [
@@ -49,14 +48,18 @@ TEMPLATES = [
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), BETWEEN_WORDS, -1), "")
 
 
 def pairs(words: Column) -> Column:
-    """Distinct pairs of neighbouring words."""
-    ahead = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
-    behind = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.array_distinct(F.zip_with(behind, ahead, lambda a, b: F.concat_ws(" ", a, b)))
+    """Distinct pairs of neighbouring words, as 64-bit hashes."""
+    count = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, 1, count), F.slice(words, 2, count), lambda a, b: F.xxhash64(a, b)))
+
+
+def computed_once(value: Column) -> Column:
+    """`value` as a generated column: later uses read it, the optimiser does not repeat its expression."""
+    return F.explode(F.array(value))
 
 
 def template_pairs(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
@@ -81,12 +84,11 @@ def find_licences(documents: DataFrame, templates: list[tuple[str, str]] = TEMPL
     row = [F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("digest")]
     found = (
         documents.select(*row, F.explode(segments(F.coalesce(F.col("text"), F.lit("")))).alias("segment"))
-        .select("doc_id", "digest", F.xxhash64("segment").alias("at"), words(F.col("segment")).alias("words"))
+        .select("doc_id", "digest", F.xxhash64("segment").alias("at"), computed_once(words(F.col("segment"))).alias("words"))
         .filter(F.size("words") > low)
-        .select("doc_id", "digest", "at", pairs(F.col("words")).alias("pairs"))
-        .withColumn("a", F.size("pairs"))
-        .filter(F.col("a").between(low, high))
-        .select("doc_id", "digest", "at", "a", F.explode("pairs").alias("pair"))
+        .select("doc_id", "digest", "at", computed_once(pairs(F.col("words"))).alias("pairs"))
+        .filter(F.size("pairs").between(low, high))
+        .select("doc_id", "digest", "at", F.size("pairs").alias("a"), F.explode("pairs").alias("pair"))
         .join(F.broadcast(known), "pair")
         .filter((F.col("b") >= F.col("a") * threshold / (2 - threshold)) & (F.col("b") <= F.col("a") * (2 - threshold) / threshold))
         .groupBy("doc_id", "digest", "at", "a", "template", "licence", "b")

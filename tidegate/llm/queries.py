@@ -84,6 +84,7 @@ def literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+LOWER_WORDS_SQL = r"regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 TEMPLATES_SQL = ", ".join(f"({i}, {literal(a)}, {literal(b)})" for i, (a, b) in enumerate(licences.TEMPLATES))
 
 ORACLES = {
@@ -95,11 +96,11 @@ ORACLES = {
         WITH template_pairs AS (
             SELECT no, licence, len(pairs) AS b, unnest(pairs) AS pair
             FROM (SELECT no, licence, {pairs_sql("w")} AS pairs
-                  FROM (SELECT no, licence, {WORDS_SQL} AS w FROM (VALUES {TEMPLATES_SQL}) v(no, licence, text)))),
+                  FROM (SELECT no, licence, {LOWER_WORDS_SQL} AS w FROM (VALUES {TEMPLATES_SQL}) v(no, licence, text)))),
         segments AS (SELECT doc_id, unnest({SEGMENTS_SQL}) AS text FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
         paired AS (
             SELECT doc_id, text, len(pairs) AS a, unnest(pairs) AS pair
-            FROM (SELECT doc_id, text, {pairs_sql("w")} AS pairs FROM (SELECT doc_id, text, {WORDS_SQL} AS w FROM segments))),
+            FROM (SELECT doc_id, text, {pairs_sql("w")} AS pairs FROM (SELECT doc_id, text, {LOWER_WORDS_SQL} AS w FROM segments))),
         scored AS (
             SELECT doc_id, licence, 2.0::DOUBLE * count(*) / (any_value(a) + any_value(b)) AS dice
             FROM paired JOIN template_pairs USING (pair) GROUP BY doc_id, text, no, licence),
