@@ -3,7 +3,7 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, decontamination, dedup, licences, near, secrets
+from tidegate.llm import bpe, decontamination, dedup, language, licences, near, secrets
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,6 +16,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.find_copies(read(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_benchmark_words(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -60,6 +64,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language": op3_language,
     "op6_decontamination": op6_decontamination,
     "op7_licences": op7_licences,
     "op8_byte_bpe": op8_byte_bpe,
