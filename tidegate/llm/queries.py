@@ -3,7 +3,7 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, decontamination, dedup, language, licences, near, secrets
+from tidegate.llm import bpe, decontamination, dedup, language, licences, near, secrets, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +20,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_benchmark_words(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -65,6 +69,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
+    "op4_toxicity": op4_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_licences": op7_licences,
     "op8_byte_bpe": op8_byte_bpe,
