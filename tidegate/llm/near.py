@@ -8,8 +8,8 @@ compared with each other.
   documents share, and go into the bucket of each chosen one.
 * A bucket of more than SMALL nodes is split again on tokens that its members sampled
   (a minhash in each of SPLIT_BINS parts of hash space); all members use the same
-  CHILDREN parts, chosen by the bucket. This is repeated while it lowers the number of
-  pairs to compare; groups of near copies stay together.
+  CHILDREN parts, chosen by the bucket. This is repeated while one of the parts shows
+  that it lowers the number of pairs to compare; groups of near copies stay together.
 * Within a bucket, pairs are compared by brute force: lengths, then sketches, then
   the sets themselves. A bucket too large for one task is cut into blocks, and a task
   takes two of them. A pair is counted in the lowest bucket that it shares, so no list
@@ -146,6 +146,12 @@ def sketch_documents(documents: DataFrame) -> DataFrame:
     return map_texts(keyed(documents), sketch, SETS)
 
 
+def child_of(leaf: str, i: int) -> Column:
+    """The child of a bucket that its node goes to by one of the bucket's parts of hash space."""
+    part = F.pmod(F.xxhash64(F.lit(i), leaf), F.lit(SPLIT_BINS)).cast("int")
+    return F.xxhash64(leaf, part, F.get("tokens", part))
+
+
 def split(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Leaf buckets (leaf, node), each with two nodes or more."""
     done = []
@@ -157,20 +163,13 @@ def split(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             done.append(rows.select("leaf", "node"))
             return union(done)
         done.append(rows.filter(F.col("m") <= SMALL).select("leaf", "node"))
-        bins = [F.pmod(F.xxhash64(F.lit(i), "leaf"), F.lit(SPLIT_BINS)) for i in range(CHILDREN)]
-        children = large.join(nodes.select("node", "tokens"), "node").select(
-            F.col("leaf").alias("parent"), "m", "node",
-            F.explode(F.array_distinct(F.array(*[
-                F.xxhash64("leaf", b, F.get("tokens", b.cast("int"))) for b in bins
-            ]))).alias("leaf"),
-        )
-        children = settle(children, "children", compact=True)
-        work = children.groupBy("parent", "m", "leaf").agg(F.count(F.lit(1)).alias("k")).groupBy("parent", "m").agg(
-            F.sum(F.col("k") * F.col("k")).alias("work")
-        )
-        useful = settle(work.filter(F.col("work") < F.col("m") * F.col("m")).select("parent"), "splits")
-        done.append(large.join(useful, large["leaf"] == useful["parent"], "left_anti").select("leaf", "node"))
-        rows = children.join(useful, "parent", "left_semi").select("leaf", "node")
+        tokens = large.join(nodes.select("node", "tokens"), "node")
+        probe = tokens.groupBy("leaf", "m", child_of("leaf", 0).alias("child")).agg(F.count(F.lit(1)).alias("k"))
+        work = probe.groupBy("leaf", "m").agg((CHILDREN * F.sum(F.col("k") * F.col("k"))).alias("work"))
+        useful = settle(work.filter(F.col("work") < F.col("m") * F.col("m")).select("leaf"), "splits")
+        done.append(large.join(useful, "leaf", "left_anti").select("leaf", "node"))
+        children = F.array_distinct(F.array(*[child_of("leaf", i) for i in range(CHILDREN)]))
+        rows = tokens.join(useful, "leaf", "left_semi").select("node", F.explode(children).alias("leaf"))
     sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     done.append(rows.join(sizes, "leaf").select("leaf", "node"))
     return union(done)

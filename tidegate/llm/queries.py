@@ -3,7 +3,7 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, decontamination, dedup, language, licences, near, secrets, toxicity
+from tidegate.llm import bpe, decontamination, dedup, language, licences, near, quality, secrets, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -12,6 +12,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.find_copies(read(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_toxicity": op4_toxicity,
