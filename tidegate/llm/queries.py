@@ -3,7 +3,7 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, decontamination, dedup, language, licences, near, quality, secrets, toxicity
+from tidegate.llm import bpe, chat, decontamination, dedup, language, licences, near, quality, secrets, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -28,6 +28,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read(spark, sf_dir, "conversations"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_benchmark_words(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -75,6 +79,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_toxicity": op4_toxicity,
+    "op5_chat": op5_chat,
     "op6_decontamination": op6_decontamination,
     "op7_licences": op7_licences,
     "op8_byte_bpe": op8_byte_bpe,
@@ -125,6 +130,37 @@ ORACLES = {
         SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_licences, coalesce(names, '') AS licences,
                coalesce(dice, 0) AS best_dice
         FROM documents LEFT JOIN best USING (doc_id)""",
+    "op5_chat": r"""
+        WITH lines AS (
+            SELECT conv_id, turn, role, text, i, line, regexp_extract(line, '^\s*(>\s?)+') AS marks,
+                   regexp_matches(line, '(?i)^\s*(on\b.*\bwrote|.*\bschrieb|.*\ba écrit|.*\bescribió)\s*:\s*$') AS announces
+            FROM (SELECT conv_id, turn, role, text, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i
+                  FROM (SELECT *, regexp_split_to_array(coalesce(text, ''), '\r?\n') AS ls FROM conversations))),
+        levels AS (
+            SELECT *, substr(line, length(marks) + 1) AS said, length(regexp_replace(marks, '\s', '', 'g')) AS level
+            FROM lines),
+        ahead AS (SELECT *, coalesce(lead(level) OVER (PARTITION BY conv_id, turn, role, text ORDER BY i), 0) AS next FROM levels),
+        contents AS (
+            SELECT conv_id, turn, role, text,
+                   trim(coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (WHERE level = 0 AND NOT (announces AND next > 0)), ''), ' ') AS content,
+                   count(*) FILTER (WHERE level > 0 AND said <> '') AS n_quoted
+            FROM ahead GROUP BY ALL),
+        norm AS (
+            SELECT conv_id, turn, level, trim(regexp_replace(lower(said), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain FROM levels),
+        links AS (
+            SELECT q.conv_id, q.turn, q.plain, count(*) AS n,
+                   (SELECT max(o.turn) FROM norm o
+                    WHERE o.conv_id = q.conv_id AND o.level = 0 AND o.plain = q.plain AND o.turn < q.turn) AS source
+            FROM norm q WHERE q.level = 1 AND q.plain <> '' GROUP BY ALL),
+        votes AS (SELECT conv_id, turn, source, sum(n) AS n FROM links WHERE source IS NOT NULL GROUP BY ALL),
+        replies AS (
+            SELECT conv_id, turn, sum(n) AS n_linked, arg_max(source, n * 1000000 + source) AS source FROM votes GROUP BY ALL)
+        SELECT conv_id, turn,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position, role,
+               coalesce(source, max(turn) OVER (PARTITION BY conv_id ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS reply_to,
+               n_quoted, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, content,
+               '<|' || coalesce(role, '') || '|>' || chr(10) || content || chr(10) || '<|end|>' AS formatted
+        FROM contents LEFT JOIN replies USING (conv_id, turn)""",
     "op6_decontamination": rf"""
         WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
         items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
