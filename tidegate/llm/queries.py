@@ -1,5 +1,6 @@
 """The registered queries of the training-data operators, and their SQL where there is one."""
 
+import corpus_pipeline
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -85,6 +86,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secrets": op9_secrets,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "pipeline": corpus_pipeline.run,
 }
 
 WORDS_SQL = r"""regexp_extract_all(

@@ -340,6 +340,7 @@ def map_scores(rows: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not predict to be toxic, with their columns."""
-    own = documents.select(*[F.col(f"`{name}`").alias(f"own {i}") for i, name in enumerate(documents.columns)], "text")
+    names = {name: "text" if name == "text" else f"own {i}" for i, name in enumerate(documents.columns)}
+    own = documents.select(*[F.col(f"`{name}`").alias(alias) for name, alias in names.items()])
     clean = score(own, learn(documents, labels)).filter(F.col("toxicity") < THRESHOLD)
-    return clean.select(*[F.col(f"`own {i}`").alias(name) for i, name in enumerate(documents.columns)])
+    return clean.select(*[F.col(f"`{alias}`").alias(name) for name, alias in names.items()])
