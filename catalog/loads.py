@@ -28,7 +28,7 @@ MAPPING_SCHEMA = (
 
 def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file key per document, in the folder of its source."""
-    key = F.concat_ws("/", F.lit("s3://bucket/in"), "source", F.concat("lang", F.lit("_"), "doc_id", F.lit(".csv")))
+    key = F.concat_ws("/", F.lit("s3://bucket-1/in"), "source", F.concat("lang", F.lit("_"), "doc_id", F.lit(".csv")))
     return table(spark, sf_dir, "documents").select("doc_id", key.alias("key"))
 
 
@@ -36,7 +36,7 @@ def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     configs = documents.groupBy("source").agg(F.min("doc_id").alias("clientfileconfigid")).select(
         "clientfileconfigid",
-        F.concat(F.lit("s3://bucket/in/"), "source", F.lit("/")).alias("srcfilepath"),
+        F.concat(F.lit("s3://bucket-1/in/"), "source", F.lit("/")).alias("srcfilepath"),
         F.when(F.col("clientfileconfigid") % 3 == 0, "en_*.csv")
         .when(F.col("clientfileconfigid") % 3 == 1, "*")
         .otherwise("1*").alias("filemask"),
@@ -55,10 +55,9 @@ def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("file_path"),
         F.lit("s3://bucket/in/acme").alias("directory"),
         F.timestamp_seconds(F.col("c_custkey")).alias("modified"),
+        (F.col("c_custkey") * 10).alias("file_size"),
     )
-    return registry_rows(assign_ids(files, last_id=100)).drop(
-        "lastupdateddatetime", "filelastmodifieddate", "createddatetime"
-    )
+    return registry_rows(assign_ids(files, last_id=100)).drop("lastupdateddatetime")
 
 
 def stage_with_fileid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +67,8 @@ def stage_with_fileid(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = {
         segment: write_lines(spread(customer.filter(condition)), customer_line(), f"customer-{segment}", top)
         for segment, condition in (
-            ("auto", F.col("c_mktsegment") == "AUTOMOBILE"),
-            ("rest", F.col("c_mktsegment") != "AUTOMOBILE"),
+            ("auto", F.col("c_mktsegment").eqNullSafe("AUTOMOBILE")),
+            ("rest", ~F.col("c_mktsegment").eqNullSafe("AUTOMOBILE")),
         )
     }
     feeds = [feed(CUSTOMER_MAPPING, srcfilepath=f, clientfileconfigid=i) for i, f in enumerate(folders.values())]
@@ -131,7 +130,7 @@ def arity_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unmapped_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files (customers) of the configs (nations) for which no field (supplier) is mapped."""
     configs = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("clientfileconfigid"), "n_name")
-    rich = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 9000)
+    rich = table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") % 3 > 0)
     mapping = rich.select(F.col("s_nationkey").alias("client_file_config_id"))
     files = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("clientfileconfigid"))
     return files.join(unmapped_configs(configs, mapping), "clientfileconfigid").select(
@@ -183,6 +182,46 @@ def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_files(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, DataFrame]:
+    """Suppliers as files, and the config that takes them."""
+    columns = [F.col(c) for c in ("s_suppkey", "s_name")]
+    folder = write_lines(spread(table(spark, sf_dir, "supplier")), delimited("|", *columns), label)
+    config = (1, 7, 3, folder + "/", "part-*", "{0: 'SUPPID', 1: 'NAME'}", False, 0, None, "|", "csv")
+    return folder, spark.createDataFrame([config], CONFIG_SCHEMA)
+
+
+def rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers staged by the first of two equal runs; the second finds nothing new."""
+    _, configs = supplier_files(spark, sf_dir, "rerun")
+    store = ParquetStore(new_folder(spark, "warehouse"))
+    run_load(spark, configs, None, store)
+    again = run_load(spark, configs, None, store)
+    outcome = again.outcomes.select("clientfileconfigid", F.col("outcome").alias("second_run"))
+    rows = store.read(spark, "Raw_Balances").withColumn("clientfileconfigid", F.lit(1))
+    return rows.join(outcome, "clientfileconfigid").select("suppid", "name", "second_run")
+
+
+class ClosedStore(ParquetStore):
+    """A store whose staging tables cannot be written."""
+
+    def append(self, df: DataFrame, table: str, load: str) -> None:
+        if table.startswith("Raw_"):
+            raise OSError("table is closed")
+        super().append(df, table, load)
+
+
+def retry_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers whose first load failed at the table, staged by the next run."""
+    _, configs = supplier_files(spark, sf_dir, "retry")
+    root = new_folder(spark, "warehouse")
+    failed = run_load(spark, configs, None, ClosedStore(root))
+    store = ParquetStore(root)
+    run_load(spark, configs, None, store)
+    outcome = failed.outcomes.select("clientfileconfigid", F.concat_ws(": ", "outcome", "reason").alias("first_run"))
+    rows = store.read(spark, "Raw_Balances").withColumn("clientfileconfigid", F.lit(1))
+    return rows.join(outcome, "clientfileconfigid").select("suppid", "name", "first_run")
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers appended to a table and read back in ranges.
 
@@ -235,17 +274,19 @@ QUERIES = {
     "arity_reject": arity_reject,
     "unmapped_reject": unmapped_reject,
     "load_all": load_all,
+    "rerun_idempotent": rerun_idempotent,
+    "retry_after_failure": retry_after_failure,
     "jdbc_roundtrip": jdbc_roundtrip,
     "stream_pickup": stream_pickup,
 }
 
 ORACLES = {
     "discover_files": """
-        SELECT clientfileconfigid, doc_id, 's3://bucket/in/' || source || '/' || lang || '_' || doc_id || '.csv' AS key
+        SELECT clientfileconfigid, doc_id, 's3://bucket-1/in/' || source || '/' || lang || '_' || doc_id || '.csv' AS key
         FROM documents
         JOIN (SELECT source, min(doc_id) AS clientfileconfigid FROM documents GROUP BY source) AS c USING (source)
         WHERE CASE clientfileconfigid % 3 WHEN 0 THEN lang = 'en' WHEN 1 THEN true
-                   ELSE contains('s3://bucket/in/' || source || '/' || lang || '_' || doc_id || '.csv', '1') END""",
+                   ELSE contains('in/' || source || '/' || lang || '_' || doc_id || '.csv', '1') END""",
     "file_registry": """
         SELECT CAST(100 + row_number() OVER (
                    ORDER BY c_nationkey, 's3://bucket/in/acme/' || lower(c_mktsegment) || '.' || c_custkey || '.csv'
@@ -253,8 +294,11 @@ ORACLES = {
                c_custkey % 9 AS clientid, c_custkey % 3 + 1 AS filetypeid,
                lower(c_mktsegment) || '.' || c_custkey || '.csv' AS filename,
                's3://bucket/in/acme' AS filelocation, CAST(NULL AS VARCHAR) AS filecreatedby,
+               strftime(make_timestamp(c_custkey * 1000000), '%Y-%m-%d %H:%M:%S') AS filelastmodifieddate,
+               strftime(make_timestamp(c_custkey * 1000000), '%Y-%m-%d %H:%M:%S') AS createddatetime,
                c_nationkey AS cleintconfigid,
-               's3://bucket/in/acme/' || lower(c_mktsegment) || '.' || c_custkey || '.csv' AS file_path
+               's3://bucket/in/acme/' || lower(c_mktsegment) || '.' || c_custkey || '.csv' AS file_path,
+               c_custkey * 10 AS file_size, c_custkey * 1000000 AS changed
         FROM customer""",
     "stage_with_fileid": """
         SELECT c_custkey AS acctid, c_name AS acctname, CAST(7 AS INTEGER) AS clientid,
@@ -286,7 +330,7 @@ ORACLES = {
     "unmapped_reject": """
         SELECT c_custkey, c_nationkey AS clientfileconfigid, 'Rejected' AS processstatus
         FROM customer JOIN nation ON n_nationkey = c_nationkey
-        WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000)""",
+        WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_nationkey % 3 > 0)""",
     "load_all": """
         SELECT 1 AS clientfileconfigid, 'staged' AS outcome, CAST(NULL AS VARCHAR) AS reason,
                'Raw_Accounts' AS target, true AS clean, count(*) AS rows_staged, count(*) AS last_rownum,
@@ -300,6 +344,9 @@ ORACLES = {
         FROM orders
         UNION ALL
         SELECT 4, 'nothing staged', 'no fixed-width mapping', 'Raw_Trades', false, 0, NULL, NULL, NULL""",
+    "rerun_idempotent": "SELECT s_suppkey AS suppid, s_name AS name, 'no files' AS second_run FROM supplier",
+    "retry_after_failure": """
+        SELECT s_suppkey AS suppid, s_name AS name, 'failed: table is closed' AS first_run FROM supplier""",
     "jdbc_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "stream_pickup": """
         SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys

@@ -40,7 +40,9 @@ def write_lines(df: DataFrame, line: Column, label: str, top: str | None = None)
     if top is not None:
         row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ID_BITS) - 1))
         line = F.when(row == 0, F.concat(F.lit(top + "\n"), line)).otherwise(line)
-    df.select(line.alias("value")).write.text(folder)
+    # without the marker file that Spark adds: clients send none
+    marker = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    df.select(line.alias("value")).write.option(marker, "false").text(folder)
     return folder
 
 

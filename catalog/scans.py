@@ -144,7 +144,7 @@ def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_lines(spark, folder).withColumn("at", F.monotonically_increasing_id())
     blocks = settle(count_blocks(lines), "blocks")
     totals = blocks.groupBy("file_path").agg(F.sum("lines").alias("n"))
-    files = running_total(totals, blocks.count(), ["file_path"], "n", "earlier")
+    files = running_total(totals, ["file_path"], "n", "earlier")
     cells = F.split("value", ",")
     return (
         number_lines(lines, blocks)

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.operators import numbering
 from tidegate.operators.numbering import count_blocks, number_lines, number_rows, running_total
 from tidegate.session import settle
 from tidegate.sources.lines import read_lines
@@ -33,12 +32,10 @@ def test_row_numbers_with_one_key_for_most_rows(spark):
     assert [row["rownum"] for row in numbered] == list(range(11, 5011))
 
 
-@pytest.mark.parametrize("most", [0, 1_000_000])
-def test_running_total(spark, monkeypatch, most):
-    monkeypatch.setattr(numbering, "ONE_TASK_ROWS", most)
+def test_running_total(spark):
     amounts = spark.range(300).select((F.col("id") * 37 % 300).alias("k"), (F.col("id") % 5).alias("n"))
     total = 0
-    for row in running_total(amounts, 300, ["k"], "n", "before").orderBy("k").collect():
+    for row in running_total(amounts, ["k"], "n", "before").orderBy("k").collect():
         assert row["before"] == total
         total += row["n"]
 

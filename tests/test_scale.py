@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import load, make_feed
-from tidegate.operators import numbering
 from tidegate.plans import batch
 from tidegate.plans.batch import run_load
 from tidegate.plans.stage import profile_paths, row_offsets, typed_rows
@@ -14,10 +13,8 @@ AB = {"a": "A", "b": "B"}
 
 
 @pytest.fixture
-def large(spark, monkeypatch, tiny_splits):
-    """Every table counts as too large to broadcast or to sort in one task."""
-    monkeypatch.setattr(numbering, "ONE_TASK_ROWS", 0)
-    monkeypatch.setattr(batch, "NAMED_PATHS", 0)
+def large(spark, tiny_splits):
+    """Every table counts as too large to broadcast."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for key in keys:
         spark.conf.set(key, "-1")

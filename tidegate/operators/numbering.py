@@ -11,7 +11,6 @@ from tidegate.session import settle
 
 BLOCK = ("file_path", "block_start")
 ID_BITS = 33  # fixed value: low bits of the id that count rows inside a task
-ONE_TASK_ROWS = 1_000_000  # tables counted to have no more rows may be sorted by one task
 
 
 def task_of(at: Column) -> Column:
@@ -69,7 +68,7 @@ def slice_starts(sliced: DataFrame, amount: Column) -> DataFrame:
 def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0) -> DataFrame:
     """`start + 1`, `start + 2`, ... in `order`."""
     sliced = in_slices(df, order, "numbered")
-    starts = settle(slice_starts(sliced, F.lit(1)), "starts")
+    starts = slice_starts(sliced, F.lit(1))
     number = F.col("in_earlier_slices") + F.col("at") - F.col("first_at") + F.lit(start + 1)
     return (
         sliced.withColumn("slice", task_of(F.col("at")))
@@ -79,19 +78,8 @@ def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0
     )
 
 
-def number_few(df: DataFrame, count: int, order: list, name: str, start: int = 0) -> DataFrame:
-    """`number_rows` for a table of `count` rows, in one task while that is few."""
-    if count > ONE_TASK_ROWS:
-        return number_rows(df, order, name, start)
-    number = F.row_number().over(Window.orderBy(*order)) + F.lit(start)
-    return df.withColumn(name, number.cast("bigint"))
-
-
-def running_total(df: DataFrame, count: int, order: list, amount: str, name: str) -> DataFrame:
-    """The `amount` of all earlier rows in `order`; `df` has `count` rows."""
-    if count <= ONE_TASK_ROWS:
-        earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
+def running_total(df: DataFrame, order: list, amount: str, name: str) -> DataFrame:
+    """The `amount` of all earlier rows in `order`."""
     sliced = in_slices(df, order, "totals")
     starts = slice_starts(sliced, F.col(amount))
     earlier = Window.partitionBy("slice").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,8 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.functions.paths import base_name, folder, time_text
-from tidegate.operators.numbering import number_few
+from tidegate.functions.paths import base_name, folder, utc_text
+from tidegate.operators.numbering import number_rows
 from tidegate.session import settle
 
 # The two outcomes and their folders.
@@ -14,12 +14,15 @@ FOLDERS = {STAGED: "Processed", REJECTED: "Rejected"}
 def assign_ids(files: DataFrame, last_id: int = 0) -> DataFrame:
     """`fileid` from `last_id + 1` on, by config and path."""
     order = ["clientfileconfigid", "file_path"]
-    return settle(number_few(files, files.count(), order, "fileid", last_id), "registered")
+    return settle(number_rows(files, order, "fileid", last_id), "registered")
 
 
 def registry_rows(files: DataFrame) -> DataFrame:
-    """The registry's columns; the creation time of an object is its last change."""
-    modified = time_text(F.col("modified"))
+    """The registry's columns; the creation time of an object is its last change.
+
+    Times are UTC. `file_size` and `changed` (microseconds) tell versions of a file apart.
+    """
+    modified = utc_text(F.col("modified"))
     return files.select(
         "fileid",
         "clientid",
@@ -29,9 +32,21 @@ def registry_rows(files: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("filecreatedby"),
         modified.alias("filelastmodifieddate"),
         modified.alias("createddatetime"),
-        time_text(F.current_timestamp()).alias("lastupdateddatetime"),
+        utc_text(F.current_timestamp()).alias("lastupdateddatetime"),
         F.col("clientfileconfigid").alias("cleintconfigid"),
         "file_path",
+        "file_size",
+        F.unix_micros("modified").alias("changed"),
+    )
+
+
+def with_outcome(registered: DataFrame, events: DataFrame) -> DataFrame:
+    """Versions of files that some run has staged or rejected; those of failed feeds are not among them."""
+    done = events.select("fileid").distinct()
+    return (
+        registered.join(done, "fileid", "left_semi")
+        .select(F.col("cleintconfigid").alias("clientfileconfigid"), "file_path", "file_size", "changed")
+        .distinct()
     )
 
 

@@ -130,6 +130,8 @@ def _fixed_feed(feed: Feed, row: dict, specs: list[dict]) -> Feed:
         skip = max(int(row["datastartingrownumber"]) - 1, 0)
     except ValueError:
         return replace(feed, problem="data starting row is not a number")
+    if any(spec[name] is None for spec in specs for name in ("start_pos", "end_pos", "field_mapped_to")):
+        return replace(feed, problem="a field of the fixed-width mapping has no place or no name")
     names = tuple(spec["field_mapped_to"] for spec in specs)
     if len({name.lower() for name in names}) < len(names):
         return replace(feed, problem="two fields with one target")

@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidegate.functions.mappings import has_unknown, header_names, key_places, strip_names
-from tidegate.functions.paths import as_of_date, base_name
+from tidegate.functions.paths import as_of_date, decoded_name
 from tidegate.functions.values import all_missing, read_as, type_mask, type_of_mask
 from tidegate.operators.numbering import (
     BLOCK,
@@ -53,8 +53,8 @@ def read_records(spark: SparkSession, feed: Feed, path: str | list[str], glob: s
 
 
 def lasting(feed: Feed) -> Column:
-    """Not blank, and at least one field with a value."""
-    return F.expr(f"NOT blank AND NOT ({all_missing(fields_of(feed.columns))})")
+    """Not blank, and at least one field with a value, or too many fields to be parsed."""
+    return F.expr(f"NOT blank AND (width > {feed.columns} OR NOT ({all_missing(fields_of(feed.columns))}))")
 
 
 def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
@@ -84,7 +84,7 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
         "width",
         "broken",
         "quotes",
-        f"NOT blank AND coalesce({', '.join(masks)}) IS NOT NULL AS is_lasting",
+        f"NOT blank AND (width > {feed.columns} OR coalesce({', '.join(masks)}) IS NOT NULL) AS is_lasting",
         f"{below} AND NOT blank AS data",
         f"NOT {below} AS above",
         f"{header} AS is_header",
@@ -154,7 +154,7 @@ def profile_files(blocks: DataFrame, feed: Feed) -> DataFrame:
     if feed.dated:
         problem = F.coalesce(
             problem,
-            F.when(as_of_date(base_name(F.col("file_path"))).isNull(), "no as-of date in the file name"),
+            F.when(as_of_date(decoded_name(F.col("file_path"))).isNull(), "no as-of date in the file name"),
         )
     return files.select(
         "file_path", "file_size", "modified", "rows", "splits", "masks", "places", problem.alias("problem")
@@ -238,7 +238,7 @@ def row_offsets(found: Profile) -> DataFrame:
         .join(found.good, "file_path", "left_semi")
         .select(*BLOCK, "first_row_at", "lasting", "lead", (F.col("lasting") - F.col("lead")).alias("rows"))
     )
-    return running_total(places, found.n_splits, list(BLOCK), "rows", "rows_before").drop("rows")
+    return running_total(places, list(BLOCK), "rows", "rows_before").drop("rows")
 
 
 def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
@@ -262,7 +262,7 @@ def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
     )
     columns = [F.expr(read_as(sources[i], found.types[i])).alias(feed.targets[i]) for i in feed.kept]
     if feed.dated:
-        columns.append(as_of_date(base_name(F.col("file_path"))).alias("asofdate"))
+        columns.append(as_of_date(decoded_name(F.col("file_path"))).alias("asofdate"))
     added = [c for c in offsets.columns if c not in (*BLOCK, *PLACE_COLUMNS, "places")]
     rownum = F.col("rows_before") + F.col("place") - F.col("lead") + 1
     return rows.select(*columns, *added, rownum.alias("rownum"))

@@ -28,15 +28,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
+def settle(df: DataFrame, label: str, compact: bool = False, session: SparkSession | None = None) -> DataFrame:
     """Write `df` to the shared folder and go on from the written table.
 
     The table outlives its executors, and values that depend on the task that made
     them stay as they were written. Unless `compact`, values are written plainly,
     so the file size that Spark compares with its broadcast threshold is their
     real size: below it a join broadcasts the table, beyond it both sides shuffle.
+    The table is read in `session`, if it is to be another one than that of `df`.
     """
-    spark = df.sparkSession
+    spark = session or df.sparkSession
     path = new_folder(spark, label)
     plain = {"compression": "none", "parquet.enable.dictionary": "false"}
     df.write.options(**({} if compact else plain)).parquet(path)

@@ -18,8 +18,8 @@ def struct_of_texts(n: int) -> str:
     return ", ".join(f"`_{i}` string" for i in range(n))
 
 
-def csv_options(sep: str) -> dict[str, str]:
-    return {"sep": sep, "quote": '"', "escape": '"', "maxColumns": "100000"}
+def csv_options(sep: str, columns: int = 100_000) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "maxColumns": str(columns)}
 
 
 def is_blank(value: Column, sep: str) -> Column:
@@ -57,11 +57,14 @@ def delimited_records(lines: DataFrame, sep: str, columns: int, count_blank: boo
     value = F.col("value")
     blank = is_blank(value, sep)
     counted = lines if count_blank else lines.filter(~blank)
+    width = field_count(value, sep)
+    # Wider lines make their file be rejected; the parser would fail on them.
+    fields = F.when(width <= columns, F.from_csv(value, struct_of_texts(columns), csv_options(sep, columns + 1)))
     return counted.select(
         *FILE_COLUMNS,
         F.monotonically_increasing_id().alias("at"),
-        F.from_csv(value, struct_of_texts(columns), csv_options(sep)).alias("rec"),
-        field_count(value, sep).alias("width"),
+        fields.alias("rec"),
+        width.alias("width"),
         has_open_quote(value, sep).alias("broken"),
         quote_count(value).alias("quotes"),
         (blank if count_blank else F.lit(False)).alias("blank"),

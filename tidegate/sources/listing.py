@@ -2,43 +2,71 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.functions.paths import base_name, folder, mask_text
-from tidegate.session import path_exists, settle
+from tidegate.functions.paths import base_name, folder, mask_text, object_key
+from tidegate.session import hadoop_path, path_exists, settle
 
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
+def literal_glob(text: str, special: str = "\\[]{},*?") -> str:
+    return "".join("\\" + c if c in special else c for c in text)
+
+
+def skipped_files(spark: SparkSession, folders: list[str]) -> list[tuple[str, str, int, int]]:
+    """The files that Spark's file sources pass over: no bytes, or a name they take for hidden.
+
+    Only these are gathered; the others are listed by Spark.
+    """
+    found = []
+    for path in folders:
+        fs, full = hadoop_path(spark, path)
+        entries = fs.listStatusIterator(full)
+        while entries.hasNext():
+            entry = entries.next()
+            name = entry.getPath().getName()
+            if entry.isFile() and (entry.getLen() == 0 or is_hidden(name)):
+                path = entry.getPath()
+                found.append((path.toString(), path.toUri().toString(), entry.getLen(), entry.getModificationTime()))
+    return found
+
+
+def is_hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """The files directly under `folders`, as they are now; no file is opened.
 
-    Spark's file sources pass over files of zero bytes and names that start with a
-    dot or an underscore. The scan is planned with very large splits, because it reads names only.
+    `readable` is false for names that Spark does not read. The scan is planned with
+    very large splits, in a session of its own, because it reads names only.
     """
     present = [f for f in folders if path_exists(spark, f)]
+    skipped = spark.createDataFrame(
+        [(*row, not is_hidden(row[0].rsplit("/", 1)[1])) for row in skipped_files(spark, present)],
+        "key string, file_path string, file_size bigint, changed bigint, readable boolean",
+    ).select("key", "file_path", "file_size", F.timestamp_millis("changed").alias("modified"), "readable")
     if not present:
-        return spark.createDataFrame(
-            [], "key string, file_path string, file_size bigint, modified timestamp"
-        )
-    before = spark.conf.get(SPLIT_BYTES)
-    spark.conf.set(SPLIT_BYTES, str(1 << 44))
-    try:
-        found = spark.read.format("binaryFile").load(present)
-        return settle(
-            found.select(
-                F.col("path").alias("key"),
-                F.col("_metadata.file_path").alias("file_path"),
-                F.col("length").alias("file_size"),
-                F.col("modificationTime").alias("modified"),
-            ),
-            "listing",
-        )
-    finally:
-        spark.conf.set(SPLIT_BYTES, before)
+        return skipped
+    apart = spark.newSession()
+    apart.conf.set(SPLIT_BYTES, str(1 << 44))
+    found = apart.read.format("binaryFile").load([literal_glob(f) for f in present]).filter("length > 0")
+    listed = settle(
+        found.select(
+            F.col("path").alias("key"),
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("length").alias("file_size"),
+            F.col("modificationTime").alias("modified"),
+            F.lit(True).alias("readable"),
+        ),
+        "listing",
+        session=spark,
+    )
+    return listed.unionByName(skipped)
 
 
 def takes(key: Column, mask: Column) -> Column:
-    """The mask's text before the first star occurs anywhere in the key."""
-    return key.contains(mask_text(mask))
+    """The mask's text before the first star occurs anywhere in the key, bucket and scheme aside."""
+    return object_key(key).contains(mask_text(mask))
 
 
 def takes_name(key: Column, mask: Column) -> Column:
