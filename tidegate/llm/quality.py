@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegate.llm.filters import filter_words, passes
 from tidegate.llm.grams import padded
 from tidegate.llm.tasks import map_texts, ship_package
-from tidegate.llm.text import as_text, byte_arrays, point_arrays, runs, signed, unsigned
+from tidegate.llm.text import RUN_BYTES, as_text, byte_arrays, point_arrays, runs, signed, unsigned
 from tidegate.session import settle
 
 ORDER = 4
@@ -41,6 +41,7 @@ SYMBOL_BITS = 16
 START, END, OTHER = 1, 2, 0xFFFF
 BLOCK_CHARS = 16 << 20
 QUANTILE = 0.99
+LEAST_DISCOUNT = 0.1
 PRIOR = 32  # symbols of the language's usual kind that a text is taken to have besides its own
 
 PACKED = "doc_id bigint, lang string, packed binary"
@@ -87,7 +88,7 @@ def packed_runs(column: pa.Array, step: int = 256) -> Iterator[tuple[int, int, p
     """Row ranges and their texts, a few unpacked at a time."""
     for start in range(0, len(column), step):
         texts = unpack(column.slice(start, step))
-        for a, b in runs(texts):
+        for a, b in runs(texts, RUN_BYTES // 2):
             yield start + a, start + b, texts.slice(a, b - a)
 
 
@@ -115,11 +116,11 @@ def head(gram: Column) -> Column:
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """The three discounts of one gram length, from its counts of counts."""
+    """The three discounts of one gram length, from its counts of counts; some mass is always left for shorter grams."""
     row = counts.agg(*[F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in range(1, 5)]).first()
     n1, n2, n3, n4 = (max(row[f"n{i}"], 1) for i in range(1, 5))
     y = n1 / (n1 + 2 * n2)
-    return tuple(min(max(i - (i + 1) * y * b / a, 0.0), float(i)) for i, (a, b) in enumerate([(n1, n2), (n2, n3), (n3, n4)], 1))
+    return tuple(min(max(i - (i + 1) * y * b / a, LEAST_DISCOUNT), float(i)) for i, (a, b) in enumerate([(n1, n2), (n2, n3), (n3, n4)], 1))
 
 
 def build_model(counts: DataFrame) -> tuple[DataFrame, float]:

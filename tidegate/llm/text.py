@@ -38,14 +38,14 @@ def as_text(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts together have at most RUN_BYTES, at least one row each."""
+def runs(texts: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts together have at most `most` bytes, at least one row each."""
     sizes = pc.binary_length(texts.cast(pa.large_binary())).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     start = 0
     while start < len(ends):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + RUN_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield start, stop
         start = stop
 
