@@ -222,6 +222,28 @@ def retry_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(outcome, "clientfileconfigid").select("suppid", "name", "first_run")
 
 
+def load_twice_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers staged by three runs: without names, with names, and with keys that are no integers."""
+    supplier = table(spark, sf_dir, "supplier")
+    lines = {
+        1: delimited("|", F.col("s_suppkey"), F.lit("")),
+        2: delimited("|", F.col("s_suppkey"), F.col("s_name")),
+        3: delimited("|", F.col("s_suppkey") + 0.5, F.col("s_name")),
+    }
+    store = ParquetStore(new_folder(spark, "warehouse"))
+    reasons = None
+    for number, line in lines.items():
+        folder = write_lines(spread(supplier), line, f"twice-{number}")
+        row = (number, number, 3, folder + "/", "part-*", "{0: 'SUPPID', 1: 'NAME'}", False, 0, None, "|", "csv")
+        load = run_load(spark, spark.createDataFrame([row], CONFIG_SCHEMA), None, store)
+        found = load.events.select("clientfileconfigid", "reason").distinct()
+        reasons = found if reasons is None else reasons.unionByName(found)
+    rows = store.read(spark, "Raw_Balances").select("suppid", "name", F.col("clientid").alias("clientfileconfigid"))
+    return settle(reasons, "reasons").join(rows, "clientfileconfigid", "left").select(
+        "clientfileconfigid", "reason", "suppid", "name"
+    )
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers appended to a table and read back in ranges.
 
@@ -276,6 +298,7 @@ QUERIES = {
     "load_all": load_all,
     "rerun_idempotent": rerun_idempotent,
     "retry_after_failure": retry_after_failure,
+    "load_twice_types": load_twice_types,
     "jdbc_roundtrip": jdbc_roundtrip,
     "stream_pickup": stream_pickup,
 }
@@ -347,6 +370,11 @@ ORACLES = {
     "rerun_idempotent": "SELECT s_suppkey AS suppid, s_name AS name, 'no files' AS second_run FROM supplier",
     "retry_after_failure": """
         SELECT s_suppkey AS suppid, s_name AS name, 'failed: table is closed' AS first_run FROM supplier""",
+    "load_twice_types": """
+        SELECT 1 AS clientfileconfigid, CAST(NULL AS VARCHAR) AS reason, s_suppkey AS suppid, CAST(NULL AS VARCHAR) AS name
+        FROM supplier
+        UNION ALL SELECT 2, NULL, s_suppkey, s_name FROM supplier
+        UNION ALL SELECT 3, 'values do not fit the types of the staging table', NULL, NULL""",
     "jdbc_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "stream_pickup": """
         SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys

@@ -86,6 +86,12 @@ def type_of_mask(mask: int | None) -> str:
     return "string"
 
 
+def fits(mask: str, type_name: str) -> str:
+    """Whether a column's mask, an SQL expression, lets all its values be read as a type."""
+    bit = {"bigint": LONG, "double": DOUBLE, "boolean": BOOLEAN}.get(type_name)
+    return "true" if bit is None else f"coalesce({mask} & {bit}, {bit}) != 0"
+
+
 def read_as(field: str, type_name: str) -> str:
     """A field as a type that `type_of_mask` found for its column."""
     if type_name == "string":

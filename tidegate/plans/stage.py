@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidegate.functions.mappings import has_unknown, header_names, key_places, strip_names
 from tidegate.functions.paths import as_of_date, decoded_name
-from tidegate.functions.values import all_missing, read_as, type_mask, type_of_mask
+from tidegate.functions.values import all_missing, fits, read_as, type_mask, type_of_mask
 from tidegate.operators.numbering import (
     BLOCK,
     ID_BITS,
@@ -171,6 +171,7 @@ class Profile:
     files: DataFrame
     problems: list[str]
     types: list[str]
+    empty: list[bool]  # columns of which no good file has a value
     n_good: int
     n_splits: int
     places: list[int] | None  # None where files differ in their column order
@@ -180,12 +181,30 @@ class Profile:
         return self.files.filter(F.col("problem").isNull())
 
 
-def profile(feed: Feed, records: DataFrame, only: DataFrame | None = None) -> Profile:
-    """Run the first two passes; `only` names the files (file_path) that count, if not all do."""
+def misfit(feed: Feed, known: dict[str, str]) -> Column:
+    """The problem of files with values that a known type of their column cannot take."""
+    tests = [
+        fits(f"get(masks, places[{i}] - 1)", known[feed.targets[i].lower()])
+        for i in feed.kept
+        if feed.targets[i].lower() in known
+    ]
+    bad = f"NOT ({' AND '.join(tests)})" if tests else "false"
+    return F.when(F.expr(bad), "values do not fit the types of the staging table")
+
+
+def profile(
+    feed: Feed, records: DataFrame, only: DataFrame | None = None, known: dict[str, str] | None = None
+) -> Profile:
+    """Run the first two passes; `only` names the files (file_path) that count, if not all do.
+
+    `known` has the types that the staging table's columns already have.
+    """
+    known = known or {}
     blocks = settle(profile_blocks(records, feed), "profile")
     files = profile_files(blocks, feed)
     if only is not None:
         files = files.join(only.select("file_path"), "file_path", "left_semi")
+    files = files.withColumn("problem", F.coalesce("problem", misfit(feed, known)))
     good = "FILTER (WHERE problem IS NULL)"
     masks = [f"bit_and(get(masks, places[{i}] - 1)) {good}" for i in range(feed.columns)]
     verdict = files.selectExpr(
@@ -197,12 +216,13 @@ def profile(feed: Feed, records: DataFrame, only: DataFrame | None = None) -> Pr
         f"max(places) {good} AS last_order",
     ).first()
     types = [
-        "string" if target in feed.as_text else type_of_mask(mask)
+        known.get(target.lower()) or ("string" if target in feed.as_text else type_of_mask(mask))
         for target, mask in zip(feed.targets, verdict["masks"])
     ]
     places = verdict["first_order"] if verdict["first_order"] == verdict["last_order"] else None
     counts = verdict["n_good"], verdict["n_splits"]
-    return Profile(feed, records, blocks, files, verdict["problems"], types, *counts, places)
+    empty = [mask is None for mask in verdict["masks"]]
+    return Profile(feed, records, blocks, files, verdict["problems"], types, empty, *counts, places)
 
 
 def profile_paths(
@@ -211,16 +231,17 @@ def profile_paths(
     path: str | list[str],
     glob: str | None = None,
     only: DataFrame | None = None,
+    known: dict[str, str] | None = None,
 ) -> Profile:
     """The profile of files on storage.
 
     A line-wise scan cannot see quoted line breaks; if it meets one, the feed is
     read again record by record.
     """
-    found = profile(feed, read_records(spark, feed, path, glob), only)
+    found = profile(feed, read_records(spark, feed, path, glob), only, known)
     if feed.kind == "delimited" and LINE_BREAK in found.problems:
         feed = replace(feed, multi_line=True)
-        found = profile(feed, read_records(spark, feed, path, glob), only)
+        found = profile(feed, read_records(spark, feed, path, glob), only, known)
     return found
 
 
