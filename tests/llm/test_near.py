@@ -71,6 +71,14 @@ def test_splits_and_blocks_lose_nothing(docs, monkeypatch, small, block):
     assert found(docs(texts)) == brute(texts)
 
 
+def test_variants_of_a_template_meet_in_its_large_buckets(docs):
+    rng = random.Random(11)
+    template = [f"t{i}" for i in range(84)]
+    own = [[f"x{rng.randrange(10**9)}" for _ in range(20)] for _ in range(400)]
+    texts = [" ".join(template), *(" ".join(template + words) for words in own)]
+    assert found(docs(texts)) == [(0, 400)] + [(0, 1)] * 400
+
+
 def test_long_chains_become_one_class(spark):
     edges = [(bytes([i // 250, i % 250]), bytes([(i + 1) // 250, (i + 1) % 250])) for i in range(700)]
     rows = components(spark.createDataFrame(edges, "a binary, b binary")).collect()

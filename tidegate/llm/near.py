@@ -6,13 +6,13 @@ compared with each other.
 
 * Each of RUNS runs lets a set choose PICKS of its shingles on average, by a hash all
   documents share, and go into the bucket of each chosen one.
-* Passages that many documents share make large buckets. A node with ENOUGH small ones
-  leaves the large ones: its partners share each small one with probability 0.8 at
-  least, so all of them are missed as seldom as RECALL allows.
+* Passages that many documents share make large buckets, and no node leaves one: the
+  other buckets of a node may be of shingles that only it has, where it meets nobody.
 * A bucket of more than SMALL nodes is split again on tokens that its members sampled
   (a minhash in each of SPLIT_BINS parts of hash space); all members use the same
   CHILDREN parts, chosen by the bucket. This is repeated while one of the parts shows
-  that it lowers the number of pairs to compare; groups of near copies stay together.
+  that it saves more pairs than the rows it makes are worth, a row as much as ROW_PAIRS
+  times SMALL pairs; groups of near copies stay together.
 * Within a bucket, pairs are compared by brute force: lengths, then sketches, then
   the sets themselves. A bucket too large for one task is cut into blocks, and a task
   takes two of them. A pair is counted in the lowest bucket that it shares, so no list
@@ -48,7 +48,7 @@ PICKS = 2
 RUNS = math.ceil(-math.log(1 - RECALL) / (PICKS * THRESHOLD))
 SPLIT_BINS, CHILDREN, DEPTH = 16, 3, 4
 SMALL = 128  # nodes of a bucket that is not split
-ENOUGH = math.ceil(math.log(1 - RECALL) / math.log(1 - THRESHOLD))  # small buckets of a node that stand for its large ones
+ROW_PAIRS = 4  # a row made by splitting costs as much as comparing its node with so many times SMALL others
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 20  # what a task takes twice at most
 SKETCH_BITS, SKETCH_DIFFERENCES = 64, 20  # a pair at the threshold differs in 6.4 on average
 
@@ -156,13 +156,6 @@ def child_of(leaf: str, i: int) -> Column:
     return F.xxhash64(leaf, part, F.get("tokens", part))
 
 
-def without_spare(large: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows of large buckets but for nodes that have ENOUGH other buckets."""
-    picks = F.size(F.array_distinct("buckets"))
-    spare = large.groupBy("node").agg(F.count(F.lit(1)).alias("large")).join(nodes.select("node", picks.alias("picks")), "node")
-    return large.join(spare.filter(F.col("picks") - F.col("large") >= ENOUGH), "node", "left_anti")
-
-
 def split(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Leaf buckets (leaf, node), each with two nodes or more."""
     done = []
@@ -174,12 +167,11 @@ def split(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             done.append(rows.select("leaf", "node"))
             return union(done)
         done.append(rows.filter(F.col("m") <= SMALL).select("leaf", "node"))
-        if depth == 0:
-            large = settle(without_spare(large, nodes), "large", compact=True)
         tokens = large.join(nodes.select("node", "tokens"), "node")
         probe = tokens.groupBy("leaf", "m", child_of("leaf", 0).alias("child")).agg(F.count(F.lit(1)).alias("k"))
         work = probe.groupBy("leaf", "m").agg((CHILDREN * F.sum(F.col("k") * F.col("k"))).alias("work"))
-        useful = settle(work.filter(F.col("work") < F.col("m") * F.col("m")).select("leaf"), "splits")
+        made = F.col("m") * (CHILDREN * ROW_PAIRS * SMALL)
+        useful = settle(work.filter(F.col("work") + made < F.col("m") * F.col("m")).select("leaf"), "splits")
         done.append(large.join(useful, "leaf", "left_anti").select("leaf", "node"))
         children = F.array_distinct(F.array(*[child_of("leaf", i) for i in range(CHILDREN)]))
         rows = tokens.join(useful, "leaf", "left_semi").select("node", F.explode(children).alias("leaf"))
