@@ -79,6 +79,17 @@ def test_variants_of_a_template_meet_in_its_large_buckets(docs):
     assert found(docs(texts)) == [(0, 400)] + [(0, 1)] * 400
 
 
+def test_short_texts_and_their_longer_copies(docs):
+    rng = random.Random(13)
+    texts = []
+    for _ in range(100):
+        for length in (8, 13, 18, 23, 30):
+            words = [f"s{rng.randrange(10**9)}" for _ in range(length)]
+            more = [f"s{rng.randrange(10**9)}" for _ in range((length - 4) // 4)]
+            texts += [" ".join(words), " ".join(words + more)]
+    assert found(docs(texts)) == brute(texts)
+
+
 def test_long_chains_become_one_class(spark):
     edges = [(bytes([i // 250, i % 250]), bytes([(i + 1) // 250, (i + 1) % 250])) for i in range(700)]
     rows = components(spark.createDataFrame(edges, "a binary, b binary")).collect()
