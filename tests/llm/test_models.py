@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,17 @@ def test_more_than_64_languages(docs):
     assert all(r["lang_pred"] == r["lang"] for r in rows)
 
 
+def test_filter_grows_with_the_largest_language(docs):
+    points = np.random.default_rng(5).integers(0x4E00, 0x9FA0, (300, 4000))
+    large = ["".join(map(chr, row)) for row in points]  # nearly 1.2 million trigrams
+    frame = docs(large * 3, "zh").unionByName(docs(["the quick brown fox jumps over the lazy dog"] * 3, "en"))
+    filters = language.learn(frame)
+    assert filters.languages == ["en", "zh"] and 0.3 < filters.fill[1] < 0.5
+    texts = docs(["the lazy fox jumps over the quick dog", large[7][:200], large[70][:200]])
+    rows = language.predict(texts, filters).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in rows} == {0: "en", 1: "zh", 2: "zh"}
+
+
 def test_language_of_odd_texts(docs):
     frame = docs(["the thing there", "the then them", "", None, "123 !!", "这", "the"] * 2)
     found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(frame).collect()}

@@ -6,6 +6,10 @@ languages that contain it. A document's hits per language are counted, corrected
 for the hits that the filter's fill alone would give, and the language with most
 hits is predicted.
 
+The filter's rows follow the language that contains most trigrams: a power of two, at
+least ROWS and ROWS_PER_TRIGRAM for each, so that less than half of a language's bits
+are set however much was learned from.
+
 A language contains a trigram if its share of the language's trigrams is at least
 SHARE of the largest share any language has; counts are over all rows learned from.
 
@@ -15,6 +19,7 @@ language in order, with score 0; ties go to the first language; rows that repeat
 a row each; rows without lang are predicted, not learned from.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +32,9 @@ from tidegate.llm.tasks import map_texts
 from tidegate.llm.text import mix, signed, unsigned
 from tidegate.session import settle
 
-ROWS = 1 << 20  # of the filter, eight bytes each for every 64 languages
+ROWS = 1 << 20  # of the filter at least, eight bytes each for every 64 languages
 PROBES = 3
+ROWS_PER_TRIGRAM = PROBES / math.log(2)  # half of the bits set
 SHARE = 0.25
 LEAST_COUNT = 3
 UNKNOWN = "und"
@@ -43,14 +49,19 @@ class Filters:
     fill: np.ndarray
 
     def masks_of(self, keys: np.ndarray) -> np.ndarray:
-        found = self.masks[rows_of(keys, 0)]
+        found = self.masks[rows_of(keys, 0, len(self.masks))]
         for probe in range(1, PROBES):
-            found = found & self.masks[rows_of(keys, probe)]
+            found = found & self.masks[rows_of(keys, probe, len(self.masks))]
         return found
 
 
-def rows_of(keys: np.ndarray, probe: int) -> np.ndarray:
-    return (mix(keys, 51 + probe) % np.uint64(ROWS)).astype(np.int64)
+def rows_of(keys: np.ndarray, probe: int, size: int) -> np.ndarray:
+    return (mix(keys, 51 + probe) % np.uint64(size)).astype(np.int64)
+
+
+def filter_rows(most: int) -> int:
+    """The rows of a filter in which no language has more than `most` trigrams."""
+    return ROWS << max(0, math.ceil(math.log2(max(1.0, most * ROWS_PER_TRIGRAM) / ROWS)))
 
 
 def count_trigrams(documents: DataFrame) -> DataFrame:
@@ -80,24 +91,31 @@ def learn(documents: DataFrame) -> Filters:
     shares = counts.filter(F.col("n") >= LEAST_COUNT).join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
     largest = shares.groupBy("key").agg(F.max("share").alias("largest"))
     held = shares.join(largest, "key").filter(F.col("share") >= SHARE * F.col("largest")).join(numbers, "lang")
+    held = settle(held.select("key", "number"), "held", compact=True)
+    most = held.groupBy("number").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    size = filter_rows(most)
     width = max(1, -(-len(languages) // 64))
-    masks, fill = np.zeros((ROWS, width), np.uint64), np.zeros(len(languages))
+    masks, fill = np.zeros((size, width), np.uint64), np.zeros(len(languages))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, number = unsigned(batch.column("key").to_numpy()), batch.column("number").to_numpy()
-            at = np.concatenate([rows_of(keys, probe) for probe in range(PROBES)])
+            at = np.concatenate([rows_of(keys, probe, size) for probe in range(PROBES)])
             bits = np.tile(np.uint64(1) << (number % 64).astype(np.uint64), PROBES)
             words = np.tile(number // 64, PROBES)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at), pa.array(words, pa.int32()), pa.array(signed(bits))], ["at", "word", "bits"]
             )
 
-    filled = (  # at most ROWS rows for every 64 languages
-        held.select("key", "number").mapInArrow(rows, "at bigint, word int, bits bigint")
-        .groupBy("at", "word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    filled = (
+        held.mapInArrow(rows, "at bigint, word int, bits bigint")
+        .groupBy("at", "word").agg(F.bit_or("bits").alias("bits"))
     )
-    masks[filled["at"].to_numpy(np.int64), filled["word"].to_numpy(np.int64)] = unsigned(filled["bits"].to_numpy(np.int64))
+    if size > ROWS:
+        filled = settle(filled, "filled", compact=True)
+    for start in range(0, size, ROWS):  # at most ROWS rows at once for every 64 languages
+        part = filled.filter((F.col("at") >= start) & (F.col("at") < start + ROWS)).toArrow()
+        masks[part["at"].to_numpy(), part["word"].to_numpy()] = unsigned(part["bits"].to_numpy())
     for i in range(len(languages)):
         fill[i] = np.mean(masks[:, i // 64] >> np.uint64(i % 64) & np.uint64(1))
     return Filters(languages, masks, fill)
