@@ -2,11 +2,15 @@
 
 import corpus_pipeline
 import public_tokenizers as tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.llm import bpe, chat, decontamination, dedup, language, licences, near, quality, secrets, toxicity
+from tidegate.llm import (
+    bpe, chat, decontamination, dedup, language, licences, merkle, near, quality, secrets, token_files, toxicity, trie, word_bpe,
+)
+from tidegate.session import new_folder, settle
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORDS, END_ID = "word_bpe_49k.json", 1
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +79,39 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.find_near_copies(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_equal")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file of the vocabulary is named by a path every task can read."""
+    vocabulary, folder = tokenizers.path(WORDS), new_folder(spark, "token-ids")
+    token_files.write_ids(read(spark, sf_dir, "documents"), folder, lambda: word_bpe.encoder_at(vocabulary), END_ID)
+    found = token_files.read_ids(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return token_files.with_starts(found, token_files.file_starts(spark, folder)).select(
+        "doc_id", "start", "n_tokens", "ids_crc32"
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+
+    def leaf(text: Column) -> Column:
+        return merkle.leaf_digest(*[F.col(name) for name in ("doc_id", "source", "lang", "n_chars")], text)
+
+    leaves = read(spark, sf_dir, "documents").select(
+        "source", "doc_id", leaf(F.col("text")).alias("leaf"), leaf(tampered).alias("presented")
+    )
+    return merkle.proofs(leaves).select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.col("path"), F.col("presented")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.turn_rows(read(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string")) % 6
+    return trie.build(*trie.branched(settle(turns, "turns"), head, F.expr("conv_id - conv_id % 100")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -86,6 +123,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secrets": op9_secrets,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_token_files": op11_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -109,6 +149,46 @@ def literal(text: str) -> str:
 LOWER_WORDS_SQL = r"regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 TEMPLATES_SQL = ", ".join(f"({i}, {literal(a)}, {literal(b)})" for i, (a, b) in enumerate(licences.TEMPLATES))
 
+
+def crc32_sql(digits: str) -> str:
+    """The CRC-32 of ASCII text, byte by byte and bit by bit, in unsigned numbers."""
+    eight = "[xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]"
+    step = f"list_reduce({eight}, lambda a, b: xor(a >> 1, (a & 1) * 3988292384))"
+    bytes_of = f"list_transform(string_split({digits}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_of}), lambda crc, byte: {step}), 4294967295)"
+
+
+def sized_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(sized_sql(value) for value in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def tree_sql(name: str, leaves: str) -> str:
+    """All nodes above `leaves` (grp, rank, n, digest), level by level."""
+    return f"""{name} AS (
+            SELECT grp, 0 AS level, rank, n, digest FROM {leaves}
+            UNION ALL
+            SELECT grp, level + 1, rank // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY rank))
+            FROM {name} WHERE n > 1 GROUP BY grp, level, rank // 3, n)"""
+
+
+def path_sql(name: str, tree: str) -> str:
+    """Per leaf and level of `tree`: the digests beside its node."""
+    return f"""{name} AS (
+            SELECT leaf.grp, leaf.rank AS leaf, node.level,
+                   coalesce(string_agg(other.digest, '' ORDER BY other.rank) FILTER (other.rank < node.rank), '') AS l,
+                   coalesce(string_agg(other.digest, '' ORDER BY other.rank) FILTER (other.rank > node.rank), '') AS r
+            FROM (SELECT * FROM {tree} WHERE level = 0) AS leaf
+            JOIN {tree} AS node ON node.grp IS NOT DISTINCT FROM leaf.grp AND node.n > 1
+                 AND node.rank = leaf.rank // CAST(pow(3, node.level) AS BIGINT)
+            JOIN {tree} AS other ON other.grp IS NOT DISTINCT FROM leaf.grp AND other.level = node.level
+                 AND other.rank // 3 = node.rank // 3
+            GROUP BY leaf.grp, leaf.rank, node.level, node.rank)"""
+
+
 ORACLES = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -185,4 +265,67 @@ ORACLES = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_merkle_manifest": rf"""
+        WITH RECURSIVE leaves AS (
+            SELECT source AS grp, row_number() OVER same - 1 AS rank, count(*) OVER (PARTITION BY source) AS n,
+                   digest, doc_id, presented
+            FROM (SELECT doc_id, source, {leaf_sql("text")} AS digest,
+                         CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0
+                              THEN {leaf_sql("replace(text, chr(10), '')")} ELSE {leaf_sql("text")} END AS presented
+                  FROM documents)
+            WINDOW same AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest)),
+        {tree_sql("below", "leaves")},
+        subroots AS (
+            SELECT NULL AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS rank, count(*) OVER () AS n, digest, grp AS source
+            FROM below WHERE n = 1),
+        {tree_sql("above", "subroots")},
+        {path_sql("low", "below")},
+        {path_sql("high", "above")},
+        paths AS (
+            SELECT grp, leaf, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM low GROUP BY grp, leaf),
+        tops AS (
+            SELECT leaf, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM high GROUP BY leaf),
+        known AS (
+            SELECT doc_id, x.digest AS leaf, s.digest AS subroot, (SELECT digest FROM above WHERE n = 1) AS root, presented,
+                   coalesce(p.ls, []) || coalesce(t.ls, []) AS ls, coalesce(p.rs, []) || coalesce(t.rs, []) AS rs
+            FROM leaves AS x
+            JOIN subroots AS s ON s.source IS NOT DISTINCT FROM x.grp
+            LEFT JOIN paths AS p ON p.grp IS NOT DISTINCT FROM x.grp AND p.leaf = x.rank
+            LEFT JOIN tops AS t ON t.leaf = s.rank),
+        folded AS (
+            SELECT *, list_reduce(
+                       list_prepend([presented, ''], list_transform(range(1, len(ls) + 1), lambda i: [ls[i], rs[i]])),
+                       lambda node, step: [sha256(step[1] || node[1] || step[2]), ''])[1] AS folded_root
+            FROM known)
+        SELECT doc_id, leaf, subroot, root,
+               sha256(array_to_string(list_transform(range(1, len(ls) + 1), lambda i: ls[i] || rs[i]), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folded""",
+    "op13_prefix_trie": rf"""
+        WITH ordered AS (
+            SELECT conv_id, list([role, text] ORDER BY turn NULLS FIRST, role, sha256(strlen(role) || ':' || role || text)) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+                  FROM conversations WHERE conv_id IS NOT NULL)
+            GROUP BY conv_id),
+        headed AS (SELECT *, CAST({crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS BIGINT) AS h FROM ordered),
+        rebuilt AS (
+            SELECT c.conv_id, coalesce(b.turns, [])[1:c.h] || c.turns[c.h + 1:] AS turns
+            FROM headed AS c LEFT JOIN ordered AS b ON b.conv_id = c.conv_id - c.conv_id % 100),
+        members AS (SELECT conv_id, turns, turns[1:d] AS prefix, d FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+        nodes AS (
+            SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = d), '') AS ends
+            FROM members GROUP BY prefix, d),
+        families AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+        counted AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+                   (n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE length(prefix[d][2]) END AS saved
+            FROM nodes LEFT JOIN families USING (prefix, d)),
+        subtrees AS (
+            SELECT prefix[1:e] AS prefix, e AS d, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM counted) GROUP BY ALL)
+        SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens,
+               sha256(c.ends) AS ends_sha256
+        FROM counted AS c JOIN subtrees USING (prefix, d)
+        LEFT JOIN nodes AS p ON p.d = c.d - 1 AND p.prefix = c.prefix[1:c.d - 1]""",
 }
