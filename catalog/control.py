@@ -51,9 +51,7 @@ CONFIG_SQL = """
            CASE WHEN c_custkey % 2 = 0 THEN 'csv' ELSE 'dat' END AS fileextension
     FROM customer"""
 
-FLAG_SQL = """
-    CASE WHEN hasheader = false AND headerrownumber = 0 THEN false
-         WHEN hasheader = false AND headerrownumber <> 0 THEN true ELSE true END AS hasheader"""
+FLAG_SQL = "coalesce(hasheader OR headerrownumber <> 0, true) AS hasheader"
 PATH_SQL = "replace(srcfilepath, '\\', '/') AS srcfilepath"
 
 

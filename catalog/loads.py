@@ -8,6 +8,7 @@ from catalog.render import delimited, spread, table, write_lines
 from catalog.scans import CUSTOMER_MAPPING, ORDER_FIELDS, customer_line, feed, order_line
 from tidegate.operators.registry import assign_ids, disposition, latest_status, registry_rows
 from tidegate.plans.batch import discover, register, run_load
+from tidegate.plans.commits import Loading
 from tidegate.plans.config import unmapped_configs
 from tidegate.plans.stage import profile_paths, staged_rows
 from tidegate.plans.stores import ParquetStore
@@ -204,10 +205,10 @@ def rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 class ClosedStore(ParquetStore):
     """A store whose staging tables cannot be written."""
 
-    def append(self, df: DataFrame, table: str, load: str) -> None:
+    def append(self, df: DataFrame, table: str, loading: Loading) -> None:
         if table.startswith("Raw_"):
             raise OSError("table is closed")
-        super().append(df, table, load)
+        super().append(df, table, loading)
 
 
 def retry_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,27 +224,86 @@ def retry_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_twice_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers staged by three runs: without names, with names, and with keys that are no integers."""
+    """Suppliers staged by five runs: one that fails, then without names, with names, and with keys that
+    are no integers; the last goes into a table whose keys are given as integers."""
     supplier = table(spark, sf_dir, "supplier")
     lines = {
-        1: delimited("|", F.col("s_suppkey"), F.lit("")),
-        2: delimited("|", F.col("s_suppkey"), F.col("s_name")),
-        3: delimited("|", F.col("s_suppkey") + 0.5, F.col("s_name")),
+        1: delimited("|", F.concat(F.lit("k"), "s_suppkey"), F.col("s_name")),
+        2: delimited("|", F.col("s_suppkey"), F.lit("")),
+        3: delimited("|", F.col("s_suppkey"), F.col("s_name")),
+        4: delimited("|", F.col("s_suppkey") + 0.5, F.col("s_name")),
     }
-    store = ParquetStore(new_folder(spark, "warehouse"))
-    reasons = None
-    for number, line in lines.items():
-        folder = write_lines(spread(supplier), line, f"twice-{number}")
+    root = new_folder(spark, "warehouse")
+    stores = {1: ClosedStore(root), 5: ParquetStore(new_folder(spark, "warehouse"), {"Raw_Balances": {"suppid": "bigint"}})}
+    open_store, reasons = ParquetStore(root), None
+    for number in (1, 2, 3, 4, 5):
+        folder = write_lines(spread(supplier), lines[min(number, 4)], f"twice-{number}")
         row = (number, number, 3, folder + "/", "part-*", "{0: 'SUPPID', 1: 'NAME'}", False, 0, None, "|", "csv")
-        load = run_load(spark, spark.createDataFrame([row], CONFIG_SCHEMA), None, store)
-        found = load.events.select("clientfileconfigid", "reason").distinct()
+        configs = spark.createDataFrame([row], CONFIG_SCHEMA)
+        load = run_load(spark, configs, None, stores.get(number, open_store))
+        outcome = load.outcomes.join(load.events.select("clientfileconfigid", F.col("reason").alias("why")), "clientfileconfigid", "left")
+        found = outcome.select("clientfileconfigid", F.coalesce("why", "reason").alias("reason")).distinct()
         reasons = found if reasons is None else reasons.unionByName(found)
-    rows = store.read(spark, "Raw_Balances").select("suppid", "name", F.col("clientid").alias("clientfileconfigid"))
+    rows = open_store.read(spark, "Raw_Balances").select("suppid", "name", F.col("clientid").alias("clientfileconfigid"))
     return settle(reasons, "reasons").join(rows, "clientfileconfigid", "left").select(
         "clientfileconfigid", "reason", "suppid", "name"
     )
 
 
+STEPS = ("intent", "rows begun", "rows", "events", "commit begun", "commit")
+
+
+class BreakingStore(ParquetStore):
+    """A store that dies at one step of a load, which the number of its feed picks."""
+
+    def breaks(self, loading: Loading, step: str) -> None:
+        if loading.feed.isdigit() and STEPS[int(loading.feed)] == step:
+            raise OSError(f"died at {step}")
+
+    def begin(self, spark: SparkSession, loading: Loading) -> None:
+        super().begin(spark, loading)
+        self.breaks(loading, "intent")
+
+    def append(self, df: DataFrame, table: str, loading: Loading) -> None:
+        if table.startswith("Raw_"):
+            if loading.feed.isdigit() and STEPS[int(loading.feed)] == "rows begun":
+                super().append(df.filter("suppid % 2 = 0"), table, loading)
+            self.breaks(loading, "rows begun")
+        super().append(df, table, loading)
+        self.breaks(loading, "rows" if table.startswith("Raw_") else "events")
+
+    def commit(self, spark: SparkSession, loading: Loading) -> None:
+        self.breaks(loading, "commit begun")
+        super().commit(spark, loading)
+        self.breaks(loading, "commit")
+
+
+def exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers sent by one client per step of a load: the first run dies at that step, the second one goes
+    through. Per client the staged rows, the outcomes recorded and the registry's rows per file."""
+    columns = [F.col(c) for c in ("s_suppkey", "s_name")]
+    folder = write_lines(spread(table(spark, sf_dir, "supplier")), delimited("|", *columns), "once")
+    mapping = "{0: 'SUPPID', 1: 'NAME'}"
+    configs = spark.createDataFrame(
+        [(i, i, 3, folder + "/", "part-*", mapping, False, 0, None, "|", "csv") for i in range(len(STEPS))], CONFIG_SCHEMA
+    )
+    root = new_folder(spark, "warehouse")
+    first = run_load(spark, configs, None, BreakingStore(root))
+    store = ParquetStore(root)
+    second = run_load(spark, configs, None, store)
+    runs = first.outcomes.select("clientfileconfigid", F.col("reason").alias("first_run")).join(
+        second.outcomes.select("clientfileconfigid", F.col("outcome").alias("second_run")), "clientfileconfigid"
+    )
+    events = store.read(spark, "FileStatus").groupBy("fileid").agg(F.count(F.lit(1)).alias("n_events"))
+    files = store.read(spark, "Files").groupBy(F.col("cleintconfigid").alias("clientfileconfigid"), "file_path").agg(
+        F.count(F.lit(1)).alias("n_registered"), F.max("fileid").alias("fileid")
+    )
+    rows = store.read(spark, "Raw_Balances")
+    return rows.join(files.join(events, "fileid"), "fileid").join(runs, "clientfileconfigid").select(
+        "clientfileconfigid", "first_run", "second_run", "suppid", "name", "n_events", "n_registered"
+    )
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers appended to a table and read back in ranges.
 
@@ -299,6 +359,7 @@ QUERIES = {
     "rerun_idempotent": rerun_idempotent,
     "retry_after_failure": retry_after_failure,
     "load_twice_types": load_twice_types,
+    "exactly_once": exactly_once,
     "jdbc_roundtrip": jdbc_roundtrip,
     "stream_pickup": stream_pickup,
 }
@@ -371,10 +432,17 @@ ORACLES = {
     "retry_after_failure": """
         SELECT s_suppkey AS suppid, s_name AS name, 'failed: table is closed' AS first_run FROM supplier""",
     "load_twice_types": """
-        SELECT 1 AS clientfileconfigid, CAST(NULL AS VARCHAR) AS reason, s_suppkey AS suppid, CAST(NULL AS VARCHAR) AS name
-        FROM supplier
-        UNION ALL SELECT 2, NULL, s_suppkey, s_name FROM supplier
-        UNION ALL SELECT 3, 'values do not fit the types of the staging table', NULL, NULL""",
+        SELECT 1 AS clientfileconfigid, 'table is closed' AS reason, CAST(NULL AS DOUBLE) AS suppid, CAST(NULL AS VARCHAR) AS name
+        UNION ALL SELECT 2, NULL, s_suppkey, NULL FROM supplier
+        UNION ALL SELECT 3, NULL, s_suppkey, s_name FROM supplier
+        UNION ALL SELECT 4, NULL, s_suppkey + 0.5, s_name FROM supplier
+        UNION ALL SELECT 5, 'values do not fit the types of the staging table', NULL, NULL""",
+    "exactly_once": """
+        SELECT CAST(i AS INTEGER) AS clientfileconfigid, 'died at ' || step AS first_run,
+               CASE WHEN step = 'commit' THEN 'no files' ELSE 'staged' END AS second_run,
+               s_suppkey AS suppid, s_name AS name, CAST(1 AS BIGINT) AS n_events, CAST(1 AS BIGINT) AS n_registered
+        FROM supplier, (VALUES (0, 'intent'), (1, 'rows begun'), (2, 'rows'), (3, 'events'), (4, 'commit begun'), (5, 'commit'))
+             AS steps(i, step)""",
     "jdbc_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "stream_pickup": """
         SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys

@@ -1,14 +1,18 @@
 """Sources: every way a feed's files are read."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.render import delimited, in_order, name_files, spread, table, write_lines
 from tidegate.operators.numbering import count_blocks, number_lines, running_total
 from tidegate.plans.config import feed_of
 from tidegate.plans.stage import profile_paths, scan_feed
+from tidegate.plans.stores import ParquetStore
 from tidegate.session import new_folder, settle
 from tidegate.sources.delimited import csv_options, read_delimited
 from tidegate.sources.lines import read_lines
+from tidegate.streaming.pickup import pick_up
 
 BASE = {
     "clientfileconfigid": 1, "clientid": 7, "filetypeid": 2, "srcfilepath": "/", "filemask": "part-*",
@@ -137,6 +141,48 @@ def scan_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_feed(spark, feed({name: name for name in names}), folder).drop("rownum")
 
 
+def small_splits(spark: SparkSession) -> SparkSession:
+    """A session of its own that cuts files into many splits."""
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    apart.conf.set("spark.sql.files.openCostInBytes", "1k")
+    return apart
+
+
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars", "flat")
+
+
+def write_documents(spark: SparkSession, sf_dir: str, label: str, top: str) -> str:
+    """Files of documents with line breaks in their texts, beside files of the same without."""
+    documents = table(spark, sf_dir, "documents").withColumn("flat", F.lit(0))
+    flat = documents.withColumns({"text": F.translate("text", "\r\n", "  "), "flat": F.lit(1)})
+    rows = spread(documents).unionByName(spread(flat))
+    return write_lines(rows, delimited(",", *[F.col(c) for c in DOCUMENT_COLUMNS]), label, top)
+
+
+def scan_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken and unbroken files in one feed, cut into splits that end inside texts, read in three ways."""
+    apart = small_splits(spark)
+    mapping = {name: name.upper() for name in DOCUMENT_COLUMNS}
+    folder = write_documents(apart, sf_dir, "documents-mixed", ",".join(DOCUMENT_COLUMNS))
+    batch = scan_feed(apart, feed(mapping), folder)
+
+    store = ParquetStore(new_folder(apart, "warehouse"))
+    streamed = feed(mapping, srcfilepath=folder)
+    pick_up(apart, streamed, store, new_folder(apart, "checkpoint")).awaitTermination()
+
+    dated = write_documents(apart, sf_dir, "documents-dat", "DOCUMENTS,7")
+    name_files(apart, dated, "acme.20240131_documents.{:05d}.dat")
+    places = dict(enumerate(name.upper() for name in DOCUMENT_COLUMNS))
+    dat = feed(places, hasheader=False, headerrownumber=0, fileextension="dat")
+    ways = {"batch": batch, "stream": store.read(apart, "Raw_Trades"), "dat": scan_feed(apart, dat, dated)}
+    parts = [rows.select(F.lit(way).alias("way"), *DOCUMENT_COLUMNS, "rownum") for way, rows in ways.items()]
+    found = reduce(DataFrame.unionByName, parts)
+    # all numbers of a way are there once
+    top = found.groupBy("way").agg(F.max("rownum").alias("last"), F.count_distinct("rownum").alias("numbers"))
+    return found.drop("rownum").join(top, "way")
+
+
 def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines numbered in their file, plus the lines of the files before it."""
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -175,6 +221,7 @@ QUERIES = {
     "scan_dat": scan_dat,
     "scan_native_csv": scan_native_csv,
     "scan_multi_line": scan_multi_line,
+    "scan_quoted_breaks": scan_quoted_breaks,
     "line_numbers": line_numbers,
     "infer_types": infer_types,
 }
@@ -208,6 +255,11 @@ ORACLES = {
     "scan_native_csv": """
         SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part""",
     "scan_multi_line": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "scan_quoted_breaks": """
+        SELECT way, doc_id, CASE flat WHEN 0 THEN text ELSE replace(replace(text, chr(13), ' '), chr(10), ' ') END AS text,
+               lang, source, n_chars, CAST(flat AS BIGINT) AS flat,
+               (SELECT 2 * count(*) FROM documents) AS last, (SELECT 2 * count(*) FROM documents) AS numbers
+        FROM documents, (VALUES ('batch'), ('stream'), ('dat')) AS ways(way), (VALUES (0), (1)) AS kinds(flat)""",
     "line_numbers": """
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
                CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS line_no

@@ -86,6 +86,13 @@ def type_of_mask(mask: int | None) -> str:
     return "string"
 
 
+def wider(one: str, other: str) -> str:
+    """The narrowest type that holds the values of two; `void` has none."""
+    if "void" in (one, other) or one == other:
+        return other if one == "void" else one
+    return "double" if {one, other} == {"bigint", "double"} else "string"
+
+
 def fits(mask: str, type_name: str) -> str:
     """Whether a column's mask, an SQL expression, lets all its values be read as a type."""
     bit = {"bigint": LONG, "double": DOUBLE, "boolean": BOOLEAN}.get(type_name)

@@ -9,6 +9,12 @@ from tidegate.session import settle
 # The two outcomes and their folders.
 STAGED, REJECTED = "InStage", "Rejected"
 FOLDERS = {STAGED: "Processed", REJECTED: "Rejected"}
+# The registry's tables.
+FILES, EVENTS = "Files", "FileStatus"
+EVENT_SCHEMA = (
+    "fileid bigint, clientfileconfigid int, key string, processstatus string, "
+    "reason string, rows bigint, seq bigint, batch string"
+)
 
 
 def assign_ids(files: DataFrame, last_id: int = 0) -> DataFrame:
@@ -40,16 +46,6 @@ def registry_rows(files: DataFrame) -> DataFrame:
     )
 
 
-def with_outcome(registered: DataFrame, events: DataFrame) -> DataFrame:
-    """Versions of files that some run has staged or rejected; those of failed feeds are not among them."""
-    done = events.select("fileid").distinct()
-    return (
-        registered.join(done, "fileid", "left_semi")
-        .select(F.col("cleintconfigid").alias("clientfileconfigid"), "file_path", "file_size", "changed")
-        .distinct()
-    )
-
-
 def latest_status(events: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
     """The last `processstatus` of every file.
 

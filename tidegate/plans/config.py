@@ -75,7 +75,7 @@ class Feed:
     targets: tuple[str, ...] = ()  # column names, in the order of keys or fields
     bounds: tuple[tuple[int, int], ...] = ()
     dated: bool = False  # as-of date taken from the file name
-    multi_line: bool = False
+    mended: bool = False  # lines were put together to records
     problem: str | None = None
 
     @property
@@ -95,7 +95,7 @@ class Feed:
         return set() if self.kind == "fixed" else set(names_like(list(self.targets), DATE_LIKE))
 
 
-def feed_of(row: dict, specs: list[dict], multi_line: bool = False) -> Feed:
+def feed_of(row: dict, specs: list[dict]) -> Feed:
     """Check one normalised config row; `specs` are its fixed-width fields."""
     feed = Feed(config_id=row["clientfileconfigid"])
     fixed = row["textdelimiter"] in FIXED_WIDTH_WORDS
@@ -120,7 +120,7 @@ def feed_of(row: dict, specs: list[dict], multi_line: bool = False) -> Feed:
         return replace(feed, problem="header row is not a number")
     if fixed:
         return _fixed_feed(feed, row, specs)
-    return _delimited_feed(replace(feed, multi_line=multi_line), row, header_row)
+    return _delimited_feed(feed, row, header_row)
 
 
 def _fixed_feed(feed: Feed, row: dict, specs: list[dict]) -> Feed:
@@ -172,7 +172,7 @@ def _delimited_feed(feed: Feed, row: dict, header_row: int) -> Feed:
     return feed
 
 
-def load_feeds(configs: DataFrame, mapping: DataFrame | None = None, multi_line: bool = False) -> list[Feed]:
+def load_feeds(configs: DataFrame, mapping: DataFrame | None = None) -> list[Feed]:
     """All feeds in config order. Config and mapping rows are control data and are collected."""
     ready = normalise_configs(configs).filter(F.col("textdelimiter").isNotNull())
     rows = ready.select(*ALL_COLUMNS).orderBy("clientfileconfigid").collect()
@@ -180,7 +180,7 @@ def load_feeds(configs: DataFrame, mapping: DataFrame | None = None, multi_line:
     if mapping is not None:
         for spec in field_specs(mapping).collect():
             specs.setdefault(spec["client_file_config_id"], []).append(spec.asDict())
-    return [feed_of(row.asDict(), specs.get(row["clientfileconfigid"], []), multi_line) for row in rows]
+    return [feed_of(row.asDict(), specs.get(row["clientfileconfigid"], [])) for row in rows]
 
 
 def unmapped_configs(configs: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidegate.functions.mappings import has_unknown, header_names, key_places, strip_names
 from tidegate.functions.paths import as_of_date, decoded_name
-from tidegate.functions.values import all_missing, fits, read_as, type_mask, type_of_mask
+from tidegate.functions.values import all_missing, fits, read_as, type_mask, type_of_mask, wider
 from tidegate.operators.numbering import (
     BLOCK,
     ID_BITS,
@@ -27,13 +27,15 @@ from tidegate.operators.numbering import (
 )
 from tidegate.plans.config import Feed
 from tidegate.session import settle
-from tidegate.sources.delimited import delimited_records, multi_line_records
+from tidegate.sources.delimited import delimited_records
 from tidegate.sources.fixed_width import fixed_width_records
-from tidegate.sources.lines import read_lines
+from tidegate.sources.lines import FILE_COLUMNS, read_lines
+from tidegate.sources.quoted import whole_records
 
 
 PLACE_COLUMNS = ("first_row_at", "lasting", "lead", "rows_before")
-LINE_BREAK = "line break inside quotes"
+LINE_BREAK, LEFT_OPEN = "line break inside quotes", "quote left open"
+NAMED_FILES = 1000  # files that a filter names
 
 
 def fields_of(n: int) -> list[str]:
@@ -46,12 +48,6 @@ def lines_to_records(lines: DataFrame, feed: Feed) -> DataFrame:
     return delimited_records(lines, feed.sep, feed.columns, count_blank=feed.kind == "dat")
 
 
-def read_records(spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None = None) -> DataFrame:
-    if feed.multi_line:
-        return multi_line_records(spark, path, feed.sep, feed.columns, glob)
-    return lines_to_records(read_lines(spark, path, glob), feed)
-
-
 def lasting(feed: Feed) -> Column:
     """Not blank, and at least one field with a value, or too many fields to be parsed."""
     return F.expr(f"NOT blank AND (width > {feed.columns} OR NOT ({all_missing(fields_of(feed.columns))}))")
@@ -143,8 +139,7 @@ def profile_files(blocks: DataFrame, feed: Feed) -> DataFrame:
     declared = F.col("header_width") if feed.header_row else F.col("first_width")
     missing = "no header line" if feed.header_row else "empty file"
     problem = (
-        F.when(F.col("broken") & (F.col("quotes") % 2 == 1), "quote left open")
-        .when(F.col("broken"), LINE_BREAK)
+        F.when(F.col("broken"), LEFT_OPEN if feed.mended else LINE_BREAK)
         .when(declared.isNull(), missing)
         .when(declared != feed.columns, "column count differs from the mapping")
         .when(F.col("max_width") > feed.columns, "row wider than the columns")
@@ -181,30 +176,44 @@ class Profile:
         return self.files.filter(F.col("problem").isNull())
 
 
-def misfit(feed: Feed, known: dict[str, str]) -> Column:
-    """The problem of files with values that a known type of their column cannot take."""
+def misfit(feed: Feed, given: dict[str, str]) -> Column:
+    """The problem of files with values that the given type of their column cannot take."""
     tests = [
-        fits(f"get(masks, places[{i}] - 1)", known[feed.targets[i].lower()])
+        fits(f"get(masks, places[{i}] - 1)", given[feed.targets[i].lower()])
         for i in feed.kept
-        if feed.targets[i].lower() in known
+        if feed.targets[i].lower() in given
     ]
     bad = f"NOT ({' AND '.join(tests)})" if tests else "false"
     return F.when(F.expr(bad), "values do not fit the types of the staging table")
 
 
+def column_type(feed: Feed, target: str, mask: int | None, known: dict[str, str], given: dict[str, str]) -> str:
+    """The type a column is read as: the given one, or one for its values and those the table has."""
+    if target.lower() in given:
+        return given[target.lower()]
+    own = "string" if target in feed.as_text else "void" if mask is None else type_of_mask(mask)
+    found = wider(known.get(target.lower(), "void"), own)
+    return type_of_mask(None) if found == "void" else found
+
+
 def profile(
-    feed: Feed, records: DataFrame, only: DataFrame | None = None, known: dict[str, str] | None = None
+    feed: Feed,
+    records: DataFrame,
+    only: DataFrame | None = None,
+    known: dict[str, str] | None = None,
+    given: dict[str, str] | None = None,
 ) -> Profile:
     """Run the first two passes; `only` names the files (file_path) that count, if not all do.
 
-    `known` has the types that the staging table's columns already have.
+    `known` has the types that the staging table's columns have so far, `given` those
+    that are fixed.
     """
-    known = known or {}
+    known, given = known or {}, given or {}
     blocks = settle(profile_blocks(records, feed), "profile")
     files = profile_files(blocks, feed)
     if only is not None:
         files = files.join(only.select("file_path"), "file_path", "left_semi")
-    files = files.withColumn("problem", F.coalesce("problem", misfit(feed, known)))
+    files = files.withColumn("problem", F.coalesce("problem", misfit(feed, given)))
     good = "FILTER (WHERE problem IS NULL)"
     masks = [f"bit_and(get(masks, places[{i}] - 1)) {good}" for i in range(feed.columns)]
     verdict = files.selectExpr(
@@ -215,36 +224,50 @@ def profile(
         f"min(places) {good} AS first_order",
         f"max(places) {good} AS last_order",
     ).first()
-    types = [
-        known.get(target.lower()) or ("string" if target in feed.as_text else type_of_mask(mask))
-        for target, mask in zip(feed.targets, verdict["masks"])
-    ]
+    types = [column_type(feed, target, mask, known, given) for target, mask in zip(feed.targets, verdict["masks"])]
     places = verdict["first_order"] if verdict["first_order"] == verdict["last_order"] else None
     counts = verdict["n_good"], verdict["n_splits"]
     empty = [mask is None for mask in verdict["masks"]]
     return Profile(feed, records, blocks, files, verdict["problems"], types, empty, *counts, places)
 
 
-def profile_paths(
-    spark: SparkSession,
+def mended_lines(lines: DataFrame, found: Profile) -> DataFrame:
+    """`lines`, with those of files that have quoted line breaks put together to records.
+
+    The other files are read as they were, unless too many are to be named.
+    """
+    broken = found.files.filter(F.col("problem") == LINE_BREAK).select("file_path")
+    named = [row["file_path"] for row in broken.limit(NAMED_FILES + 1).collect()]
+    columns = ["value", *FILE_COLUMNS]
+    if len(named) > NAMED_FILES:
+        return whole_records(lines, found.blocks.select(*BLOCK).distinct(), found.feed.sep)
+    mine = F.col("file_path").isin(named)
+    records = whole_records(lines.filter(mine), found.blocks.filter(mine).select(*BLOCK).distinct(), found.feed.sep)
+    return lines.filter(~mine).select(*columns).unionByName(records.select(*columns))
+
+
+def profile_lines(
     feed: Feed,
-    path: str | list[str],
-    glob: str | None = None,
+    lines: DataFrame,
     only: DataFrame | None = None,
     known: dict[str, str] | None = None,
+    given: dict[str, str] | None = None,
 ) -> Profile:
-    """The profile of files on storage.
-
-    A line-wise scan cannot see quoted line breaks; if it meets one, the feed is
-    read again record by record.
-    """
-    found = profile(feed, read_records(spark, feed, path, glob), only, known)
-    if feed.kind == "delimited" and LINE_BREAK in found.problems:
-        feed = replace(feed, multi_line=True)
-        found = profile(feed, read_records(spark, feed, path, glob), only, known)
+    """The profile of a feed's lines; if quoted fields hold line breaks, that of the records they make."""
+    found = profile(feed, lines_to_records(lines, feed), only, known, given)
+    if LINE_BREAK in found.problems:
+        feed = replace(feed, mended=True)
+        found = profile(feed, lines_to_records(mended_lines(lines, found), feed), only, known, given)
     return found
 
 
+def profile_paths(
+    spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None = None, *rules
+) -> Profile:
+    """The profile of files on storage; `rules` are those of `profile_lines`."""
+    return profile_lines(feed, read_lines(spark, path, glob), *rules)
+
+
 def row_offsets(found: Profile) -> DataFrame:
     """Per split of the good files: its first row id in the final pass and the rows before it."""
     in_task = Window.partitionBy(task_of(F.col("first_at"))).orderBy("first_at")

@@ -28,19 +28,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str, compact: bool = False, session: SparkSession | None = None) -> DataFrame:
+def settle(
+    df: DataFrame, label: str, compact: bool = False, session: SparkSession | None = None, one_group: bool = False
+) -> DataFrame:
     """Write `df` to the shared folder and go on from the written table.
 
     The table outlives its executors, and values that depend on the task that made
     them stay as they were written. Unless `compact`, values are written plainly,
     so the file size that Spark compares with its broadcast threshold is their
     real size: below it a join broadcasts the table, beyond it both sides shuffle.
-    The table is read in `session`, if it is to be another one than that of `df`.
+    The table is read in `session`, if it is to be another one than that of `df`. With
+    `one_group` a file has one row group, so what a task wrote is read by one task.
     """
     spark = session or df.sparkSession
     path = new_folder(spark, label)
     plain = {"compression": "none", "parquet.enable.dictionary": "false"}
-    df.write.options(**({} if compact else plain)).parquet(path)
+    group = {"parquet.block.size": str((1 << 31) - 1)} if one_group else {}
+    df.write.options(**group, **({} if compact else plain)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,3 +72,45 @@ def hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, full = hadoop_path(spark, path)
     return fs.exists(full)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of control files, drafts of `write_once` aside; none if there is no folder."""
+    fs, full = hadoop_path(spark, path)
+    found = [entry.getPath().getName() for entry in fs.listStatus(full)] if fs.exists(full) else []
+    return sorted(name for name in found if not name.startswith("."))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, full = hadoop_path(spark, path)
+    stream = fs.open(full)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file that appears whole; False, and nothing changed, if it is there already."""
+    fs, full = hadoop_path(spark, path)
+    jvm = spark._jvm
+    draft = jvm.org.apache.hadoop.fs.Path(full.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(full.toUri(), spark._jsc.hadoopConfiguration())
+    replacing_none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(draft, full, replacing_none)
+        return True
+    except Exception:
+        fs.delete(draft, False)
+        if fs.exists(full):
+            return False
+        raise
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, full = hadoop_path(spark, path)
+    fs.delete(full, True)
