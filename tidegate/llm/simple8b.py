@@ -25,23 +25,39 @@ def block_ends(n: int) -> np.ndarray:
     return np.minimum(np.arange(BLOCK, n + BLOCK, BLOCK), n)
 
 
+def bit_lengths(values: np.ndarray) -> np.ndarray:
+    """The bits of each value; conversion to a float is exact for the halves."""
+    if not int(values.max(initial=0)) >> 32:
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    high, low = values >> np.uint64(32), values & np.uint64((1 << 32) - 1)
+    return np.where(high > 0, bit_lengths(high) + 32, bit_lengths(low)).astype(np.uint8)
+
+
 def selectors(values: np.ndarray) -> np.ndarray:
-    """The selector of a word that begins at each place: the most values that fit."""
+    """The selector of a word that begins at each place: the most values that fit.
+
+    The widest of the next values is found for longer and longer runs, each from two
+    shorter ones. Beyond its block a run meets nothing that needs a bit.
+    """
     n = len(values)
-    places = np.arange(n)
-    left = np.repeat(block_ends(n), BLOCK)[:n] - places
-    best = np.full(n, ESCAPE, np.uint8)
-    most = int(values.max(initial=0))
+    blocks = len(block_ends(n))
+    beyond = int(COUNTS.max())
+    bits = np.zeros((blocks, BLOCK + beyond), np.uint8)
+    whole = n // BLOCK
+    lengths = bit_lengths(values)
+    bits[:whole, :BLOCK] = lengths[: whole * BLOCK].reshape(whole, BLOCK)
+    if whole < blocks:
+        bits[whole, : n - whole * BLOCK] = lengths[whole * BLOCK :]
+    best = np.full((blocks, BLOCK), ESCAPE, np.uint8)
+    widest, covered = bits, 1  # of the next `covered` values
     for number in range(len(COUNTS) - 1, 0, -1):  # from few values to many, so the last that fits stands
-        width = int(WIDTHS[number])
-        wanted = np.minimum(left, COUNTS[number])
-        if most >> width == 0:
-            best[:] = number
-            continue
-        wide = np.append(np.where(values >> np.uint64(width) == 0, n, places), n)
-        next_wide = np.minimum.accumulate(wide[::-1])[::-1][:n]
-        best[next_wide - places >= wanted] = number
-    return best
+        count = int(COUNTS[number])
+        while covered < count:
+            step = min(covered, count - covered)
+            widest = np.maximum(widest[:, : widest.shape[1] - step], widest[:, step:])
+            covered += step
+        best[widest[:, :BLOCK] <= WIDTHS[number]] = number
+    return best.reshape(-1)[:n]
 
 
 def word_places(best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
