@@ -1,9 +1,12 @@
 """The ways taken when tables outgrow a broadcast or one task, and what plans look like."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import load, make_feed
+from tidegate.operators import numbering
 from tidegate.plans import batch
 from tidegate.plans.batch import run_load
 from tidegate.plans.stage import profile_paths, row_offsets, typed_rows
@@ -83,3 +86,40 @@ def test_many_columns(spark, write):
     assert {types[n] for n in names} == {"bigint"}
     got = dict(zip(types, rows[2]))
     assert got["c149"] == 298 and got["c7"] == 14
+
+
+def test_no_line_moves_at_800_000_splits(spark, write):
+    """The table of splits of a feed of 100 TB, as the final pass joins it."""
+    feed = make_feed(AB, headerrownumber=2)
+    found = replace(profile_paths(spark, feed, write(files(1))), n_splits=800_000)
+    numbers = spark.range(800_000).withColumnsRenamed({"id": "block_start"})
+    columns = ("first_row_at", "lasting", "lead", "rows_before", "fileid")
+    synthetic = numbers.select(F.lit("s3://bucket/in/a file.csv").alias("file_path"), "block_start",
+                               *[F.lit(1).cast("bigint").alias(c) for c in columns])
+    frame = typed_rows(found, row_offsets(found).withColumn("fileid", F.lit(7).cast("bigint")).unionByName(synthetic))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [split" in plan
+    assert not any(word in plan for word in ("Exchange hashpartitioning", "Exchange SinglePartition", "SortMergeJoin"))
+    assert [(row["fileid"], row["rownum"]) for row in frame.collect()] == [(7, 1)]
+
+
+def test_a_large_table_of_splits_is_not_sent(spark, write, monkeypatch):
+    folder = write(files(3))
+    want = load(spark, folder, make_feed(AB, headerrownumber=2))
+    monkeypatch.setattr(numbering, "SENT_BYTES", 0)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    found = profile_paths(spark, make_feed(AB, headerrownumber=2), folder)
+    plan = typed_rows(found, row_offsets(found))._jdf.queryExecution().executedPlan().toString()
+    got = load(spark, folder, make_feed(AB, headerrownumber=2))
+    for key in keys:
+        spark.conf.unset(key)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert got == want
+
+
+def test_two_splits_with_one_key_end_the_job(spark):
+    blocks = spark.createDataFrame([("a", 0, 1), ("a", 0, 2)], "file_path string, block_start bigint, n bigint")
+    with pytest.raises(Exception, match="two splits with one key"):
+        numbering.split_table(blocks, "twice")

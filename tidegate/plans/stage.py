@@ -2,7 +2,8 @@
 
 Three passes over the text, none of which shuffles a row:
 
-1. lines per split, for feeds whose data start below the first line;
+1. lines per split, for feeds whose data start below the first line (where files are
+   large, only their first lines are read instead);
 2. a profile per split: header, field counts, rows to keep, type masks;
 3. the staged rows, numbered and typed.
 
@@ -19,16 +20,21 @@ from tidegate.functions.values import all_missing, fits, read_as, type_mask, typ
 from tidegate.operators.numbering import (
     BLOCK,
     ID_BITS,
+    SPLIT,
+    at_splits,
     count_blocks,
     number_lines,
     place_in_block,
     running_total,
+    split_key,
+    split_table,
     task_of,
 )
 from tidegate.plans.config import Feed
 from tidegate.session import settle
-from tidegate.sources.delimited import delimited_records
+from tidegate.sources.delimited import delimited_records, is_blank
 from tidegate.sources.fixed_width import fixed_width_records
+from tidegate.sources.heads import Heads, read_heads
 from tidegate.sources.lines import FILE_COLUMNS, read_lines
 from tidegate.sources.quoted import whole_records
 
@@ -36,6 +42,7 @@ from tidegate.sources.quoted import whole_records
 PLACE_COLUMNS = ("first_row_at", "lasting", "lead", "rows_before")
 LINE_BREAK, LEFT_OPEN = "line break inside quotes", "quote left open"
 NAMED_FILES = 1000  # files that a filter names
+LARGE_FILE = 16 << 20  # bytes from which a file is dearer to read than to open
 
 
 def fields_of(n: int) -> list[str]:
@@ -53,6 +60,16 @@ def lasting(feed: Feed) -> Column:
     return F.expr(f"NOT blank AND (width > {feed.columns} OR NOT ({all_missing(fields_of(feed.columns))}))")
 
 
+def checked_records(records: DataFrame, feed: Feed) -> tuple[DataFrame, list[str]]:
+    """`records` with `is_lasting` and a type mask per column, whose names are returned too."""
+    fields = fields_of(feed.columns)
+    masks = [f"mask_{i}" for i in range(feed.columns)]
+    any_case = feed.kind != "fixed"
+    masked = records.select("*", *[F.expr(type_mask(f, any_case)).alias(m) for f, m in zip(fields, masks)])
+    lasting = f"NOT blank AND (width > {feed.columns} OR coalesce({', '.join(masks)}) IS NOT NULL)"
+    return masked.withColumn("is_lasting", F.expr(lasting)), masks
+
+
 def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
     """One row per split, and one more for a header line in it.
 
@@ -66,13 +83,10 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
         numbered = number_lines(records, settle(count_blocks(records), "blocks"))
     else:
         numbered = records.withColumn("line_no", F.lit(1).cast("bigint"))
-    fields = fields_of(feed.columns)
     below = f"line_no > {feed.skip}"
     header = f"line_no = {feed.header_row}" if feed.header_row else "false"
-    masks = [f"mask_{i}" for i in range(feed.columns)]
-    any_case = feed.kind != "fixed"
-    masked = numbered.select("*", *[F.expr(type_mask(f, any_case)).alias(m) for f, m in zip(fields, masks)])
-    checked = masked.selectExpr(
+    known, masks = checked_records(numbered, feed)
+    checked = known.selectExpr(
         "at",
         "file_size",
         "modified",
@@ -80,11 +94,11 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
         "width",
         "broken",
         "quotes",
-        f"NOT blank AND (width > {feed.columns} OR coalesce({', '.join(masks)}) IS NOT NULL) AS is_lasting",
+        "is_lasting",
         f"{below} AND NOT blank AS data",
         f"NOT {below} AS above",
         f"{header} AS is_header",
-        f"CASE WHEN {header} THEN array({', '.join(fields)}) END AS cells",
+        f"CASE WHEN {header} THEN array({', '.join(fields_of(feed.columns))}) END AS cells",
         *masks,
     )
     return checked.groupBy(*BLOCK, "cells").agg(
@@ -102,6 +116,55 @@ def profile_blocks(records: DataFrame, feed: Feed) -> DataFrame:
     )
 
 
+def profile_blocks_below(records: DataFrame, feed: Feed, heads: Heads) -> DataFrame:
+    """The same from known first lines of the files, without a pass that counts lines.
+
+    Lines with the text of some first line are kept apart, per text. All lines of one
+    text are alike, so it is enough to know how many of a split's stand above the data.
+    """
+    known, masks = checked_records(records, feed)
+    named = F.when(F.col("value").isin(heads.texts), F.col("value"))
+    fields = ", ".join(fields_of(feed.columns))
+    apart = known.withColumn("head", named).withColumn("cells", F.expr(f"CASE WHEN head IS NOT NULL THEN array({fields}) END"))
+    found = settle(
+        apart.groupBy(*BLOCK, "head", "cells").agg(
+            F.min("at").alias("first_at"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("is_lasting").alias("lasting"),
+            F.expr("min_by(width, at)").alias("first_width"),
+            F.max("width").alias("max_width"),
+            F.max("broken").alias("broken"),
+            F.sum("quotes").alias("quotes"),
+            F.max("file_size").alias("file_size"),
+            F.max("modified").alias("modified"),
+            F.array(*[F.bit_and(mask) for mask in masks]).alias("masks"),
+        ),
+        "texts",
+    )
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.groupBy(*BLOCK).agg(F.sum("n").alias("lines"))
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0)))
+    placed = found.join(sizes, list(BLOCK)).join(heads.files, "file_path", "left")
+    places = "filter(sequence(1, size(texts)), i -> i > before AND i <= before + lines AND texts[i - 1] = head)"
+    here = placed.withColumn("places", F.expr(f"CASE WHEN head IS NULL OR texts IS NULL THEN array() ELSE {places} END"))
+    data, header = "n > size(places)", f"array_contains(places, {feed.header_row})"
+    return here.selectExpr(
+        *BLOCK,
+        f"CASE WHEN {header} THEN cells END AS cells",
+        "first_at",
+        "lasting",
+        "CASE WHEN lasting > 0 THEN CAST(size(places) AS bigint) ELSE 0L END AS lead",
+        f"CASE WHEN {header} THEN max_width END AS header_width",
+        f"CASE WHEN {data} THEN first_width END AS first_width",
+        f"CASE WHEN {data} THEN max_width END AS max_width",
+        "broken",
+        "quotes",
+        "file_size",
+        "modified",
+        f"CASE WHEN {data} THEN masks ELSE transform(masks, m -> CAST(NULL AS int)) END AS masks",
+    )
+
+
 def profile_files(blocks: DataFrame, feed: Feed) -> DataFrame:
     """One row per file that has lines, with `problem` set on those to reject."""
     files = blocks.groupBy("file_path").agg(
@@ -202,14 +265,16 @@ def profile(
     only: DataFrame | None = None,
     known: dict[str, str] | None = None,
     given: dict[str, str] | None = None,
+    heads: Heads | None = None,
 ) -> Profile:
     """Run the first two passes; `only` names the files (file_path) that count, if not all do.
 
     `known` has the types that the staging table's columns have so far, `given` those
-    that are fixed.
+    that are fixed. With `heads`, the first lines of the files, the first pass is left out.
     """
     known, given = known or {}, given or {}
-    blocks = settle(profile_blocks(records, feed), "profile")
+    blocks = profile_blocks(records, feed) if heads is None else profile_blocks_below(records, feed, heads)
+    blocks = settle(blocks, "profile")
     files = profile_files(blocks, feed)
     if only is not None:
         files = files.join(only.select("file_path"), "file_path", "left_semi")
@@ -252,20 +317,40 @@ def profile_lines(
     only: DataFrame | None = None,
     known: dict[str, str] | None = None,
     given: dict[str, str] | None = None,
+    heads: Heads | None = None,
 ) -> Profile:
     """The profile of a feed's lines; if quoted fields hold line breaks, that of the records they make."""
-    found = profile(feed, lines_to_records(lines, feed), only, known, given)
+    found = profile(feed, lines_to_records(lines, feed), only, known, given, heads)
     if LINE_BREAK in found.problems:
         feed = replace(feed, mended=True)
         found = profile(feed, lines_to_records(mended_lines(lines, found), feed), only, known, given)
     return found
 
 
+def heads_of(spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None, files: DataFrame) -> Heads | None:
+    """The lines that a feed skips, where its files are large; of small ones all lines are counted instead."""
+    if not feed.skip or feed.kind == "dat":
+        return None
+    usual = files.agg(F.avg("file_size")).first()[0] or 0
+    if usual < LARGE_FILE:
+        return None
+    counted = F.lit(True) if feed.kind == "fixed" else ~is_blank(F.col("value"), feed.sep)
+    return read_heads(spark, path, glob, counted, feed.skip)
+
+
 def profile_paths(
-    spark: SparkSession, feed: Feed, path: str | list[str], glob: str | None = None, *rules
+    spark: SparkSession,
+    feed: Feed,
+    path: str | list[str],
+    glob: str | None = None,
+    only: DataFrame | None = None,
+    known: dict[str, str] | None = None,
+    given: dict[str, str] | None = None,
 ) -> Profile:
-    """The profile of files on storage; `rules` are those of `profile_lines`."""
-    return profile_lines(feed, read_lines(spark, path, glob), *rules)
+    """The profile of files on storage, by the rules of `profile_lines`; `only` may tell their `file_size`."""
+    sized = only is not None and "file_size" in only.columns
+    heads = heads_of(spark, feed, path, glob, only) if sized else None
+    return profile_lines(feed, read_lines(spark, path, glob), only, known, given, heads)
 
 
 def row_offsets(found: Profile) -> DataFrame:
@@ -297,10 +382,11 @@ def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:
     # Row ids never pass line ids. Asking for it keeps `at` in the plan, and with it
     # the filter above the parsing projection: each line is parsed once.
     in_step = F.col("row_at") <= F.col("at")
+    own = found.records.filter(lasting(feed)).select(
+        "at", "rec", "file_path", split_key().alias(SPLIT), F.monotonically_increasing_id().alias("row_at")
+    )
     rows = (
-        found.records.filter(lasting(feed))
-        .select("at", "rec", *BLOCK, F.monotonically_increasing_id().alias("row_at"))
-        .join(settle(offsets, "offsets"), list(BLOCK))
+        at_splits(own, split_table(offsets, "offsets"), found.n_splits)
         .withColumn("place", place_in_block("row_at", "first_row_at", "lasting"))
         .filter((F.col("place") >= F.col("lead")) & in_step)
     )

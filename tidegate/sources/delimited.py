@@ -1,6 +1,6 @@
 """Delimited records: one struct of texts per line, before any typing.
 
-Every record source gives the same columns: those of FILE_COLUMNS, `at` (place
+Every record source gives the same columns: `value`, those of FILE_COLUMNS, `at` (place
 in the scan, see operators.numbering), `rec` (struct `_0`, `_1`, ... of texts),
 `width` (fields on the line), `broken` (a quote left open), `quotes` (quote
 characters) and `blank`.
@@ -60,6 +60,7 @@ def delimited_records(lines: DataFrame, sep: str, columns: int, count_blank: boo
     # Wider lines make their file be rejected; the parser would fail on them.
     fields = F.when(width <= columns, F.from_csv(value, struct_of_texts(columns), csv_options(sep, columns + 1)))
     return counted.select(
+        "value",
         *FILE_COLUMNS,
         F.monotonically_increasing_id().alias("at"),
         fields.alias("rec"),

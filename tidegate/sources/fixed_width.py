@@ -34,6 +34,7 @@ def slice_field(value: Column, start: int, end: int) -> Column:
 def fixed_width_records(lines: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
     fields = [slice_field(F.col("value"), start, end).alias(f"_{i}") for i, (start, end) in enumerate(bounds)]
     return lines.select(
+        "value",
         *FILE_COLUMNS,
         F.monotonically_increasing_id().alias("at"),
         F.struct(*fields).alias("rec"),
