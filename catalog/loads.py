@@ -1,22 +1,24 @@
 """Files as rows: discovery, registry, rejection, staging, sinks and the stream."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog.render import delimited, spread, table, write_lines
+from catalog.render import delimited, spread, table, write_files, write_lines
 from catalog.scans import CUSTOMER_MAPPING, ORDER_FIELDS, customer_line, feed, order_line
+from tidegate.functions.paths import base_name
 from tidegate.operators.registry import assign_ids, disposition, latest_status, registry_rows
 from tidegate.plans.batch import discover, register, run_load
 from tidegate.plans.commits import Loading
-from tidegate.plans.config import unmapped_configs
+from tidegate.plans.config import load_feeds, unmapped_configs
 from tidegate.plans.stage import profile_paths, staged_rows
 from tidegate.plans.stores import ParquetStore
 from tidegate.plans.summary import load_summary
-from tidegate.session import new_folder, settle
+from tidegate.session import list_names, new_folder, settle
 from tidegate.sources.jdbc import read_table, write_table
 from tidegate.sources.listing import match_files
-from tidegate.streaming.pickup import pick_up
+from tidegate.streaming.pickup import pick_up, pick_up_feeds
 
 CONFIG_SCHEMA = (
     "clientfileconfigid int, clientid int, filetypeid int, srcfilepath string, filemask string, columnstring string, "
@@ -45,6 +47,31 @@ def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_files(document_files(spark, sf_dir), settle(configs, "configs")).select("clientfileconfigid", "doc_id", "key")
 
 
+def listed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as real files, one each, in three folders: some without bytes, some with hidden names. The files
+    each folder's feed takes, and what a run says about those it cannot read."""
+    key = F.col("s_suppkey")
+    supplier = table(spark, sf_dir, "supplier").select(
+        key.alias("number"),
+        F.concat(F.lit("client "), key % 4 % 3).alias("segment"),
+        F.when(key % 5 == 0, F.lit("_")).when(key % 7 == 0, F.lit(".")).otherwise(F.lit("")).alias("mark"),
+        F.when(key % 3 == 0, F.lit("")).otherwise(F.concat(key, F.lit("|x\n"))).alias("content"),
+    )
+    root = new_folder(spark, "clients")
+    write_files(supplier, root)
+    names = sorted(list_names(spark, root))
+    configs = spark.createDataFrame(
+        [(i, 1, 1, f"{root}/{name}/", "c 1*", "{0: 'ID', 1: 'X'}", False, 0, None, "|", "csv") for i, name in enumerate(names)],
+        CONFIG_SCHEMA,
+    )
+    load = run_load(spark, configs, None, ParquetStore(new_folder(spark, "warehouse")))
+    reason = load.events.select("fileid", "reason", F.col("rows").alias("n_rows"))
+    return load.files.join(reason, "fileid").select(
+        F.element_at(F.split("directory", "/"), -1).alias("segment"), base_name(F.col("key")).alias("name"),
+        "file_size", "reason", "n_rows",
+    )
+
+
 def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file per customer, a config per nation."""
     key = F.concat(F.lit("s3://bucket/in/acme/"), F.lower("c_mktsegment"), F.lit("."), "c_custkey", F.lit(".csv"))
@@ -139,8 +166,8 @@ def unmapped_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts, balances and trades from two delimited feeds and a fixed-width one, in one run."""
+def three_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Configs and mapping of accounts, balances and trades: two delimited feeds, a fixed-width one, and one that cannot be read."""
     accounts = write_lines(
         spread(table(spark, sf_dir, "customer")), customer_line(), "load-accounts", ",".join(CUSTOMER_MAPPING)
     )
@@ -163,8 +190,13 @@ def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         MAPPING_SCHEMA,
     )
+    return configs, mapping
+
+
+def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts, balances and trades from two delimited feeds and a fixed-width one, in one run."""
     store = ParquetStore(new_folder(spark, "warehouse"))
-    load = run_load(spark, configs, mapping, store)
+    load = run_load(spark, *three_feeds(spark, sf_dir), store)
     staged = None
     for name, amount in (("Raw_Accounts", "balance"), ("Raw_Balances", "balance"), ("Raw_Trades", "o_totalprice")):
         rows = store.read(spark, name).agg(
@@ -183,6 +215,30 @@ def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feeds of `load_all` through one stream, each staged row led back through its file id to its feed's config,
+    with the files' statuses."""
+    store = ParquetStore(new_folder(spark, "warehouse"))
+    feeds = load_feeds(*three_feeds(spark, sf_dir))
+    pick_up_feeds(spark, feeds, store, new_folder(spark, "checkpoint")).awaitTermination()
+    keys = {"Raw_Accounts": ("acctid", "balance"), "Raw_Balances": ("suppid", "balance"), "Raw_Trades": ("o_orderkey", "o_totalprice")}
+    parts = [
+        store.read(spark, name).select(
+            F.lit(name).alias("target"), F.col(key).alias("number"), F.col(amount).alias("amount"), "fileid", "clientid", "rownum"
+        )
+        for name, (key, amount) in keys.items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    numbers = rows.groupBy("target").agg(F.max("rownum").alias("last"), F.count_distinct("rownum").alias("n_rownums"))
+    files = store.read(spark, "Files").select("fileid", F.col("cleintconfigid").alias("clientfileconfigid"))
+    events = store.read(spark, "FileStatus").select("fileid", "processstatus", "reason")
+    staged = files.join(events, "fileid").join(rows.drop("rownum").join(numbers, "target"), "fileid", "left")
+    good = staged.filter("processstatus = 'InStage'").drop("fileid")
+    # the feed that cannot be read has the same files, all rejected
+    bad = staged.filter("processstatus = 'Rejected'").drop("fileid").distinct()
+    return good.unionByName(bad)
+
+
 def supplier_files(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, DataFrame]:
     """Suppliers as files, and the config that takes them."""
     columns = [F.col(c) for c in ("s_suppkey", "s_name")]
@@ -348,6 +404,7 @@ def stream_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "discover_files": discover_files,
+    "listed_folders": listed_folders,
     "file_registry": file_registry,
     "stage_with_fileid": stage_with_fileid,
     "file_status_latest": file_status_latest,
@@ -362,6 +419,7 @@ QUERIES = {
     "exactly_once": exactly_once,
     "jdbc_roundtrip": jdbc_roundtrip,
     "stream_pickup": stream_pickup,
+    "stream_all": stream_all,
 }
 
 ORACLES = {
@@ -371,6 +429,15 @@ ORACLES = {
         JOIN (SELECT source, min(doc_id) AS clientfileconfigid FROM documents GROUP BY source) AS c USING (source)
         WHERE CASE clientfileconfigid % 3 WHEN 0 THEN lang = 'en' WHEN 1 THEN true
                    ELSE contains('in/' || source || '/' || lang || '_' || doc_id || '.csv', '1') END""",
+    "listed_folders": """
+        SELECT segment, name, strlen(content) AS file_size,
+               CASE WHEN mark <> '' THEN 'hidden file name' WHEN content = '' THEN 'empty file' END AS reason,
+               CAST(CASE WHEN mark = '' AND content <> '' THEN 1 ELSE 0 END AS BIGINT) AS n_rows
+        FROM (SELECT 'client ' || s_suppkey % 4 % 3 AS segment, mark || 'c ' || s_suppkey || '.csv' AS name, mark,
+                     CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_suppkey || '|x' || chr(10) END AS content
+              FROM (SELECT *, CASE WHEN s_suppkey % 5 = 0 THEN '_' WHEN s_suppkey % 7 = 0 THEN '.' ELSE '' END AS mark
+                    FROM supplier))
+        WHERE contains(name, 'c 1')""",
     "file_registry": """
         SELECT CAST(100 + row_number() OVER (
                    ORDER BY c_nationkey, 's3://bucket/in/acme/' || lower(c_mktsegment) || '.' || c_custkey || '.csv'
@@ -447,4 +514,13 @@ ORACLES = {
     "stream_pickup": """
         SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys
         FROM orders GROUP BY o_orderstatus""",
+    "stream_all": """
+        WITH rows AS (
+            SELECT 1 AS clientfileconfigid, 'Raw_Accounts' AS target, c_custkey AS number, c_acctbal AS amount, 7 AS clientid FROM customer
+            UNION ALL SELECT 2, 'Raw_Balances', s_suppkey, s_acctbal, 7 FROM supplier
+            UNION ALL SELECT 3, 'Raw_Trades', o_orderkey, o_totalprice, 8 FROM orders)
+        SELECT clientfileconfigid, 'InStage' AS processstatus, CAST(NULL AS VARCHAR) AS reason, target, number, amount, clientid,
+               count(*) OVER (PARTITION BY target) AS last, count(*) OVER (PARTITION BY target) AS n_rownums
+        FROM rows
+        UNION ALL SELECT 4, 'Rejected', 'no fixed-width mapping', NULL, NULL, NULL, NULL, NULL, NULL""",
 }

@@ -52,3 +52,12 @@ def name_files(spark: SparkSession, folder: str, pattern: str) -> None:
     parts = sorted(s.getPath().toString() for s in fs.listStatus(root) if "part-" in s.getPath().getName())
     for number, part in enumerate(parts):
         fs.rename(hadoop_path(spark, part)[1], hadoop_path(spark, f"{folder}/{pattern.format(number)}")[1])
+
+
+def write_files(df: DataFrame, root: str) -> None:
+    """A file per row: `content` at `root`/`segment`/`mark`c `number`.csv, made by the driver's file system."""
+    for row in df.orderBy("number").toLocalIterator():
+        fs, place = hadoop_path(df.sparkSession, f"{root}/{row['segment']}/{row['mark']}c {row['number']}.csv")
+        stream = fs.create(place, True)
+        stream.write(bytearray(row["content"].encode()))
+        stream.close()

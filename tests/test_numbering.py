@@ -45,3 +45,11 @@ def test_plans_do_not_shuffle_lines(spark, write):
     lines = read_lines(spark, folder).withColumn("at", F.monotonically_increasing_id())
     plan = number_lines(lines, settle(count_blocks(lines), "blocks"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_few_rows_are_numbered_as_many_are(spark):
+    rows = spark.range(500).select((F.col("id") * 37 % 500).alias("k"), (F.col("id") % 5).alias("n"))
+    for few in (None, 500):
+        assert {(r["k"], r["rownum"]) for r in number_rows(rows, ["k"], start=3, rows=few).collect()} == {(k, k + 4) for k in range(500)}
+    many = running_total(rows, ["k"], "n", "before").orderBy("k").collect()
+    assert running_total(rows, ["k"], "n", "before", rows=500).orderBy("k").collect() == many

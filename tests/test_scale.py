@@ -16,8 +16,10 @@ AB = {"a": "A", "b": "B"}
 
 
 @pytest.fixture
-def large(spark, tiny_splits):
-    """Every table counts as too large to broadcast."""
+def large(spark, tiny_splits, monkeypatch):
+    """Every table counts as too large to broadcast, and to be numbered by one task."""
+    monkeypatch.setattr(numbering, "FEW", 0)
+    monkeypatch.setattr(numbering, "SENT_BYTES", 0)
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for key in keys:
         spark.conf.set(key, "-1")

@@ -13,6 +13,7 @@ BLOCK = ("file_path", "block_start")
 ID_BITS = 33  # fixed value: low bits of the id that count rows inside a task
 SPLIT = "split"  # the key of a split in a table that lines are joined to
 SENT_BYTES = 128 << 20  # the largest table of splits that is sent to every executor
+FEW = 10_000  # rows that one task numbers; more are cut into ranges
 
 
 def task_of(at: Column) -> Column:
@@ -97,8 +98,10 @@ def slice_starts(sliced: DataFrame, amount: Column) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0) -> DataFrame:
-    """`start + 1`, `start + 2`, ... in `order`."""
+def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0, rows: int | None = None) -> DataFrame:
+    """`start + 1`, `start + 2`, ... in `order`; `rows` is their number where it has been counted."""
+    if rows is not None and rows <= FEW:
+        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) + F.lit(start)).cast("bigint"))
     sliced = in_slices(df, order, "numbered")
     starts = slice_starts(sliced, F.lit(1))
     number = F.col("in_earlier_slices") + F.col("at") - F.col("first_at") + F.lit(start + 1)
@@ -110,8 +113,11 @@ def number_rows(df: DataFrame, order: list, name: str = "rownum", start: int = 0
     )
 
 
-def running_total(df: DataFrame, order: list, amount: str, name: str) -> DataFrame:
-    """The `amount` of all earlier rows in `order`."""
+def running_total(df: DataFrame, order: list, amount: str, name: str, rows: int | None = None) -> DataFrame:
+    """The `amount` of all earlier rows in `order`; `rows` is their number where it has been counted."""
+    if rows is not None and rows <= FEW:
+        earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
     sliced = in_slices(df, order, "totals")
     starts = slice_starts(sliced, F.col(amount))
     earlier = Window.partitionBy("slice").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,7 +20,7 @@ EVENT_SCHEMA = (
 def assign_ids(files: DataFrame, last_id: int = 0) -> DataFrame:
     """`fileid` from `last_id + 1` on, by config and path."""
     order = ["clientfileconfigid", "file_path"]
-    return settle(number_rows(files, order, "fileid", last_id), "registered")
+    return settle(number_rows(files, order, "fileid", last_id, files.count()), "registered")
 
 
 def registry_rows(files: DataFrame) -> DataFrame:

@@ -367,7 +367,7 @@ def row_offsets(found: Profile) -> DataFrame:
         .join(found.good, "file_path", "left_semi")
         .select(*BLOCK, "first_row_at", "lasting", "lead", (F.col("lasting") - F.col("lead")).alias("rows"))
     )
-    return running_total(places, list(BLOCK), "rows", "rows_before").drop("rows")
+    return running_total(places, list(BLOCK), "rows", "rows_before", found.n_splits).drop("rows")
 
 
 def typed_rows(found: Profile, offsets: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.functions.paths import base_name, folder, mask_text, object_key
+from tidegate.functions.paths import base_name, decoded_path, folder, mask_text, object_key
 from tidegate.session import hadoop_path, path_exists, settle
 
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
@@ -12,46 +12,65 @@ def literal_glob(text: str, special: str = "\\[]{},*?") -> str:
     return "".join("\\" + c if c in special else c for c in text)
 
 
-def skipped_files(spark: SparkSession, folders: list[str]) -> list[tuple[str, str, int, int]]:
-    """The files that Spark's file sources pass over: no bytes, or a name they take for hidden.
+def is_hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+# Names that may be hidden, as a glob.
+MAYBE_HIDDEN = "{.*,_*,*._COPYING_}"
+
 
-    Only these are gathered; the others are listed by Spark.
+def hidden_files(spark: SparkSession, folders: list[str]) -> list[tuple[str, str, int, int]]:
+    """Files whose names Spark's file sources pass over. The file system picks them; only they come here.
+
+    Checksums that a local file system keeps beside files are none.
     """
     found = []
     for path in folders:
         fs, full = hadoop_path(spark, path)
-        entries = fs.listStatusIterator(full)
-        while entries.hasNext():
-            entry = entries.next()
+        local = fs.getScheme() == "file"
+        places = spark._jvm.org.apache.hadoop.fs.Path(f"{literal_glob(full.toString())}/{MAYBE_HIDDEN}")
+        for entry in fs.globStatus(places) or []:
             name = entry.getPath().getName()
-            if entry.isFile() and (entry.getLen() == 0 or is_hidden(name)):
-                path = entry.getPath()
-                found.append((path.toString(), path.toUri().toString(), entry.getLen(), entry.getModificationTime()))
+            checksum = local and name.startswith(".") and name.endswith(".crc")
+            if is_hidden(name) and not checksum and entry.isFile():
+                found.append(described(entry))
     return found
 
 
-def is_hidden(name: str) -> bool:
-    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+def described(entry) -> tuple[str, str, int, int]:
+    """Path as written, path as a URI, bytes, and time of change in milliseconds."""
+    path = entry.getPath()
+    return path.toString(), path.toUri().toString(), entry.getLen(), entry.getModificationTime()
+
+
+def scanned_paths(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """The paths (file_path) a scan has listed, of files without bytes too; they stay in the JVM."""
+    jvm, paths = spark._jvm, scan._jdf.inputFiles()
+    copied = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, len(paths))
+    jvm.java.lang.System.arraycopy(paths, 0, copied, 0, len(paths))
+    made = spark._jsparkSession.createDataset(jvm.java.util.Arrays.asList(copied), jvm.org.apache.spark.sql.Encoders.STRING())
+    # a scan writes paths without an empty authority
+    return DataFrame(made.toDF(), spark).select(F.regexp_replace("value", "^([^:/]+:)///", "$1/").alias("file_path"))
 
 
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """The files directly under `folders`, as they are now; no file is opened.
 
-    `readable` is false for names that Spark does not read. The scan is planned with
-    very large splits, in a session of its own, because it reads names only.
+    Spark lists the folders, in tasks where they are many. Two kinds of files it does not
+    read are added: those without bytes, which are in its listing and not in its scan, and
+    those with hidden names, for which `readable` is false. Only these are asked about
+    one by one. The scan is planned with very large splits, in a session of its
+    own, because it reads names only.
     """
     present = [f for f in folders if path_exists(spark, f)]
-    skipped = spark.createDataFrame(
-        [(*row, not is_hidden(row[0].rsplit("/", 1)[1])) for row in skipped_files(spark, present)],
-        "key string, file_path string, file_size bigint, changed bigint, readable boolean",
-    ).select("key", "file_path", "file_size", F.timestamp_millis("changed").alias("modified"), "readable")
     if not present:
-        return skipped
+        return described_files(spark, [])
     apart = spark.newSession()
     apart.conf.set(SPLIT_BYTES, str(1 << 44))
-    found = apart.read.format("binaryFile").load([literal_glob(f) for f in present]).filter("length > 0")
+    scan = apart.read.format("binaryFile").load([literal_glob(f) for f in present])
     listed = settle(
-        found.select(
+        scan.filter("length > 0").select(
             F.col("path").alias("key"),
             F.col("_metadata.file_path").alias("file_path"),
             F.col("length").alias("file_size"),
@@ -61,7 +80,20 @@ def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
         "listing",
         session=spark,
     )
-    return listed.unionByName(skipped)
+    without = scanned_paths(spark, scan).join(listed, "file_path", "left_anti").select(decoded_path(F.col("file_path")))
+    rows = hidden_files(spark, present)
+    for (path,) in without.collect():
+        fs, full = hadoop_path(spark, path)
+        rows.append(described(fs.getFileStatus(full)))
+    return listed.unionByName(described_files(spark, rows))
+
+
+def described_files(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rows of `described`, as a listing."""
+    return spark.createDataFrame(
+        [(*row, not is_hidden(row[0].rsplit("/", 1)[1])) for row in rows],
+        "key string, file_path string, file_size bigint, changed bigint, readable boolean",
+    ).select("key", "file_path", "file_size", F.timestamp_millis("changed").alias("modified"), "readable")
 
 
 def takes(key: Column, mask: Column) -> Column:
