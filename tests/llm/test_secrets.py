@@ -1,6 +1,7 @@
 import base64
 import json
 import re
+import time
 
 import pyarrow as pa
 
@@ -73,6 +74,77 @@ def test_look_alikes_are_not_reported():
         assert [s for s in found if s[0] not in secrets.BASE_KINDS] == []
 
 
+LONG = der(0x30, der(2, b"\0"), *[der(2, bytes([1] * 60))] * 8)
+DSA = der(0x30, der(2, b"\0"), *[der(2, bytes([1] * 20))] * 5)
+SEALED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(5))), der(4, bytes(range(48))))
+DIGEST = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")), der(5)), der(4, bytes(32)))
+PGP = bytes([0xC0 | 5, 60, 4]) + bytes(range(59)) + bytes([0xC0 | 13, 3]) + b"abc"
+
+
+def wrapped(data, mark="\n", width=64):
+    text = text64(data)
+    return mark.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+def armour(label, body, mark="\n"):
+    return f"-----BEGIN {label}-----{mark}{body}{mark}-----END {label}-----"
+
+
+def confirmed(text):
+    return [s for s in spans([text])[0] if s[0] not in secrets.BASE_KINDS]
+
+
+def test_keys_in_every_wrapping_are_confirmed():
+    spaced = ".".join(base64.urlsafe_b64encode(p).decode().rstrip("=") for p in (b' {"alg": "RS256"}', b'{"sub": 2}', b"sig"))
+    newline = ".".join(base64.urlsafe_b64encode(p).decode().rstrip("=") for p in (b'\n{"alg": "RS256"}', b'{"sub": 2}', b"sig"))
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    cases = [
+        ("pem", armour("RSA PRIVATE KEY", wrapped(LONG, "\\n"), "\\n")),
+        ("pem", armour("RSA PRIVATE KEY", headers + wrapped(bytes(range(256))))),
+        ("pem", armour("RSA PRIVATE KEY", "Comment: mine\n\n" + wrapped(LONG))),
+        ("pem", armour("ENCRYPTED PRIVATE KEY", wrapped(SEALED))),
+        ("pem", armour("PGP PRIVATE KEY BLOCK", "Version: 1\n\n" + wrapped(PGP) + "\n=AbC1")),
+        ("pem", armour("PGP PRIVATE KEY BLOCK", "\n" + wrapped(PGP))),
+        ("pem", armour("A LABEL THAT IS LONGER THAN TWENTY FOUR LETTERS PRIVATE KEY", wrapped(PKCS8))),
+        ("der", wrapped(LONG)), ("der", wrapped(LONG, "\r\n", 76)), ("der", wrapped(LONG, "\\n")),
+        ("der", text64(SEALED)), ("der", SEALED.hex()), ("der", text64(DSA)), ("ssh", SSH.hex()),
+        ("ssh", wrapped(SSH * 1)), ("jwt", spaced), ("jwt", newline),
+    ]
+    for kind, value in cases:
+        assert confirmed(f"é {value} .") == [(kind, 2, 2 + len(value))], (kind, value)
+        assert confirmed(f"é\n{value}\nx") == [(kind, 2, 2 + len(value))], (kind, value)
+
+
+def test_what_stands_before_a_key_does_not_hide_it():
+    for before in ("key-", "path/to/", "Makefile_MII", "0x", "0xAB"):
+        for kind, value in (("der", text64(RSA)), ("der", text64(LONG)), ("ssh", text64(SSH)), ("der", RSA.hex())):
+            if before == "0xAB" or value != RSA.hex() or before == "0x":
+                assert (kind, len(before), len(before) + len(value)) in confirmed(before + value)
+    several = "\n".join([text64(SSH)] * 3)
+    size = len(text64(SSH))
+    assert confirmed(several) == [("ssh", i * (size + 1), i * (size + 1) + size) for i in range(3)]
+    assert [s[0] for s in confirmed("example." + token({"alg": "HS256"}))] == ["jwt"]
+
+
+def test_more_look_alikes():
+    broken = [
+        text64(DIGEST), wrapped(LONG[:-1]), text64(PGP), armour("PGP MESSAGE", wrapped(PGP[:-1])),
+        armour("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\n\n" + wrapped(bytes(range(250)))),
+        armour("RSA PRIVATE KEY", wrapped(LONG)).replace("END RSA", "END DSA").replace(wrapped(LONG), "AAAA"),
+        text64(der(0x30, *[der(2, b"\1")] * 6) + bytes(20)), "M" * 5000, "AAAAC" * 2000, "30" * 3000, "MIIB" * 1000,
+    ]
+    for text in broken:
+        assert confirmed(text) == [], text
+
+
+def test_padded_armour_takes_linear_time():
+    lines = ["-----BEGIN RSA PRIVATE KEY-----" + " " * (1 << 20), "-----BEGIN A KEY-----\n" * 40_000, "-----BEGIN " * 90_000]
+    for text in lines + ["-----BEGIN KEY-----" + "A" * (1 << 20), "e" * (1 << 20) + ".a", "ezz." * (1 << 18)]:
+        began = time.process_time()
+        assert confirmed(text) == []
+        assert time.process_time() - began < 2
+
+
 def test_every_row_is_returned(spark, docs):
     rows = secrets.find_secrets(docs(TEXTS)).collect()
     assert sorted(r["doc_id"] for r in rows) == list(range(len(TEXTS)))
