@@ -55,17 +55,65 @@ def kneser_ney(texts):
     return lambda t: sum(math.log(p(pad(t)[i : i + 4])) for i in range(len(t) + 1))
 
 
-def test_perplexity_is_that_of_the_formulas(spark, docs):
+def folds(spark, count):
+    return [r[0] for r in spark.range(count).select(quality.fold(F.col("id"))).collect()]
+
+
+def test_perplexity_score_and_threshold_are_those_of_the_formulas(spark, docs):
     texts = invented(1, ["ba", "no", "tri", "q"], 12) + ["zzz 99", "", None, "é\U0001F600"]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(8)] + [(3, 0, 0), (None, 1, 0)], LABELS)
-    log_p = kneser_ney(texts[:8])
-    rows = {r["doc_id"]: r for r in quality.classify(docs(texts), labels).collect()}
-    assert len(rows) == len(texts)
-    for i, text in enumerate(texts[:13]):
-        assert rows[i]["perplexity"] == pytest.approx(math.exp(-log_p(text) / (len(text) + 1)), rel=1e-9)
+    fold = folds(spark, len(texts))
+    assert len(set(fold[:8])) == quality.FOLDS
+    models = [kneser_ney([t for i, t in enumerate(texts[:8]) if fold[i] != k]) for k in range(quality.FOLDS)]
+    log_p = {i: models[fold[i]](text) for i, text in enumerate(texts[:13])}
+    size = {i: len(texts[i]) + 1 for i in range(13)}
+    usual = sum(log_p[i] for i in range(8)) / sum(size[i] for i in range(8))
+    score = {i: math.exp(-(log_p[i] + quality.PRIOR * usual) / (size[i] + quality.PRIOR)) for i in range(13)}
+    threshold = sorted(score[i] for i in range(8))[3]
+    found = quality.classify(docs(texts), labels, quantile=0.5).collect()
+    rows = {r["doc_id"]: r for r in found}
+    assert len(found) == len(rows) == len(texts)
+    for i in range(13):
+        assert rows[i]["perplexity"] == pytest.approx(math.exp(-log_p[i] / size[i]), rel=1e-9)
+        assert rows[i]["score"] == pytest.approx(score[i], rel=1e-9)
+        assert rows[i]["threshold"] == pytest.approx(threshold, rel=1e-9)
+        assert rows[i]["keep"] is (rows[i]["score"] <= rows[i]["threshold"])
     assert rows[12]["keep"] is False and rows[13]["keep"] is False and rows[13]["perplexity"] is None
 
 
+def test_trusted_text_in_one_fold_is_the_model_of_all(spark, docs):
+    texts = invented(3, ["ba", "no"], 6)
+    fold = folds(spark, 6)
+    trusted = [i for i in range(6) if fold[i] == fold[0]]
+    log_p = kneser_ney([texts[i] for i in trusted])
+    found = quality.classify(docs(texts), spark.createDataFrame([(i, 1, 0) for i in trusted], LABELS)).collect()
+    for row in found:
+        text = texts[row["doc_id"]]
+        assert row["perplexity"] == pytest.approx(math.exp(-log_p(text) / (len(text) + 1)), rel=1e-9)
+
+
+def test_repeated_rows_and_clashing_columns_do_not_change_quality(spark, docs):
+    texts = invented(4, ["ba", "no", "tri"], 10)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(8)], LABELS)
+    frame = docs(texts)
+    once = {r["doc_id"]: r["perplexity"] for r in quality.classify(frame, labels).collect()}
+    names = ("model", "gram", "block", "score", "threshold", "fold", "packed", "hash", "language")
+    clashing = frame.select("*", *[F.lit("x").alias(name) for name in names])
+    assert {r["doc_id"]: r["perplexity"] for r in quality.classify(clashing, labels).collect()} == pytest.approx(once)
+    doubled = quality.classify(frame.unionByName(frame.filter("doc_id >= 8")), labels.unionByName(labels)).collect()
+    assert len(doubled) == 12 and {r["doc_id"]: r["perplexity"] for r in doubled} == pytest.approx(once)
+
+
+def test_withheld_trusted_documents_are_kept_like_trusted_ones(spark):
+    read = lambda name: spark.read.parquet(f"{SF_DIR}/{name}.parquet")
+    withheld = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    good = read("labels").filter("quality = 1").withColumn("withheld", withheld)
+    found = quality.classify(read("documents"), good.filter("not withheld").drop("withheld")).join(good, "doc_id")
+    share = {r["withheld"]: r["kept"] for r in found.groupBy("withheld").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    print(share)
+    assert abs(share[True] - quality.QUANTILE) < 0.02 and share[False] > 0.97
+
+
 def test_blocks_do_not_change_the_scores(spark, docs, monkeypatch):
     texts = invented(2, ["ba", "no", "tri", "q"], 30)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 30, 2)], LABELS)
