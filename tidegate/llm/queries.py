@@ -213,36 +213,64 @@ ORACLES = {
                coalesce(dice, 0) AS best_dice
         FROM documents LEFT JOIN best USING (doc_id)""",
     "op5_chat": r"""
-        WITH lines AS (
-            SELECT conv_id, turn, role, text, i, line, regexp_extract(line, '^\s*(>\s?)+') AS marks,
+        WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS m, conv_id, turn, role, text FROM conversations),
+        lines AS (
+            SELECT m, conv_id, turn, i, line, regexp_extract(line, '^\s*(>\s?)+') AS marks,
                    regexp_matches(line, '(?i)^\s*(on\b.*\bwrote|.*\bschrieb|.*\ba écrit|.*\bescribió)\s*:\s*$') AS announces
-            FROM (SELECT conv_id, turn, role, text, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i
-                  FROM (SELECT *, regexp_split_to_array(coalesce(text, ''), '\r?\n') AS ls FROM conversations))),
+            FROM (SELECT m, conv_id, turn, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i
+                  FROM (SELECT *, regexp_split_to_array(coalesce(text, ''), '\r?\n') AS ls FROM numbered))),
         levels AS (
             SELECT *, substr(line, length(marks) + 1) AS said, length(regexp_replace(marks, '\s', '', 'g')) AS level
             FROM lines),
-        ahead AS (SELECT *, coalesce(lead(level) OVER (PARTITION BY conv_id, turn, role, text ORDER BY i), 0) AS next FROM levels),
+        kept AS (
+            SELECT *, CASE WHEN left_out THEN '' ELSE trim(regexp_replace(lower(said), '[^\p{L}\p{N}]+', ' ', 'g')) END AS plain,
+                   sum(CASE WHEN level = before THEN 0 ELSE 1 END) OVER (PARTITION BY m ORDER BY i) AS run
+            FROM (SELECT *, announces AND coalesce(lead(level) OVER w, 0) > level AS left_out, lag(level) OVER w AS before
+                  FROM levels WINDOW w AS (PARTITION BY m ORDER BY i))),
         contents AS (
-            SELECT conv_id, turn, role, text,
-                   trim(coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (WHERE level = 0 AND NOT (announces AND next > 0)), ''), ' ') AS content,
-                   count(*) FILTER (WHERE level > 0 AND said <> '') AS n_quoted
-            FROM ahead GROUP BY ALL),
-        norm AS (
-            SELECT conv_id, turn, level, trim(regexp_replace(lower(said), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain FROM levels),
+            SELECT m, trim(coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (level = 0 AND NOT left_out), ''), ' ') AS content
+            FROM kept GROUP BY m),
+        passages AS (
+            SELECT m, conv_id, turn, level, string_agg(plain, ' ' ORDER BY i) FILTER (plain <> '') AS passage
+            FROM kept WHERE level > 0 GROUP BY m, conv_id, turn, level, run HAVING count(*) FILTER (plain <> '') > 0),
+        quoted AS (SELECT m, count(*) AS n_quoted FROM passages GROUP BY m),
+        quotes AS (
+            SELECT DISTINCT conv_id, turn, level, passage, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS words
+            FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i
+                  FROM (SELECT *, string_split(passage, ' ') AS w FROM passages))),
+        own AS (
+            SELECT conv_id, turn, string_agg(plain, ' ' ORDER BY i) AS run FROM kept WHERE level = 0 AND plain <> '' GROUP BY m, conv_id, turn
+            UNION ALL
+            SELECT conv_id, turn, plain FROM kept WHERE level = 0 AND plain <> '' AND len(string_split(plain, ' ')) < 5),
+        sources AS (
+            SELECT DISTINCT conv_id, turn, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS words
+            FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i
+                  FROM (SELECT conv_id, turn, string_split(run, ' ') AS w FROM own))),
         links AS (
-            SELECT q.conv_id, q.turn, q.plain, count(*) AS n,
-                   (SELECT max(o.turn) FROM norm o
-                    WHERE o.conv_id = q.conv_id AND o.level = 0 AND o.plain = q.plain AND o.turn < q.turn) AS source
-            FROM norm q WHERE q.level = 1 AND q.plain <> '' GROUP BY ALL),
-        votes AS (SELECT conv_id, turn, source, sum(n) AS n FROM links WHERE source IS NOT NULL GROUP BY ALL),
-        replies AS (
-            SELECT conv_id, turn, sum(n) AS n_linked, arg_max(source, n * 1000000 + source) AS source FROM votes GROUP BY ALL)
-        SELECT conv_id, turn,
-               row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position, role,
-               coalesce(source, max(turn) OVER (PARTITION BY conv_id ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS reply_to,
-               n_quoted, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, content,
+            SELECT q.conv_id, q.turn, q.level, q.passage, q.words, max(o.turn) AS source
+            FROM quotes q JOIN sources o ON o.conv_id = q.conv_id AND o.words = q.words AND o.turn < q.turn GROUP BY ALL),
+        votes AS (SELECT conv_id, turn, level, passage, source, count(*) AS n FROM links GROUP BY ALL),
+        linked AS (
+            SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY conv_id, turn, level, passage ORDER BY n DESC, source DESC) = 1),
+        voted AS (SELECT conv_id, turn, level, source, sum(n) AS n FROM linked GROUP BY ALL),
+        chosen AS (
+            SELECT conv_id, turn, source FROM voted
+            QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, source DESC) = 1),
+        turns AS (
+            SELECT t.conv_id, t.turn, coalesce(source, lag(t.turn) OVER (PARTITION BY t.conv_id ORDER BY t.turn)) AS reply_to
+            FROM (SELECT DISTINCT conv_id, turn FROM conversations) t LEFT JOIN chosen USING (conv_id, turn)),
+        firsts AS (SELECT conv_id, reply_to, min(turn) AS turn FROM turns WHERE reply_to IS NOT NULL GROUP BY ALL),
+        branches AS (
+            SELECT conv_id, turn, turn AS branch FROM turns ANTI JOIN firsts USING (conv_id, turn)
+            UNION ALL
+            SELECT f.conv_id, f.turn, b.branch FROM firsts f JOIN branches b ON b.conv_id = f.conv_id AND b.turn = f.reply_to),
+        counts AS (SELECT conv_id, turn, count(*) AS n_linked FROM linked GROUP BY ALL)
+        SELECT conv_id, turn, branch,
+               row_number() OVER (PARTITION BY conv_id ORDER BY branch, turn, role NULLS FIRST, text NULLS FIRST) AS position,
+               role, reply_to, coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked, content,
                '<|' || coalesce(role, '') || '|>' || chr(10) || content || chr(10) || '<|end|>' AS formatted
-        FROM contents LEFT JOIN replies USING (conv_id, turn)""",
+        FROM numbered JOIN contents USING (m) LEFT JOIN quoted USING (m) JOIN turns USING (conv_id, turn)
+             JOIN branches USING (conv_id, turn) LEFT JOIN counts USING (conv_id, turn)""",
     "op6_decontamination": rf"""
         WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
         items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
