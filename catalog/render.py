@@ -1,6 +1,10 @@
 """Tables written out as the text files a client would send."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+from pyarrow import ArrowInvalid
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tidegate.operators.numbering import ID_BITS
 from tidegate.session import hadoop_path, new_folder
@@ -55,7 +59,34 @@ def name_files(spark: SparkSession, folder: str, pattern: str) -> None:
 
 
 def write_files(df: DataFrame, root: str) -> None:
-    """A file per row: `content` at `root`/`segment`/`mark`c `number`.csv, made by the driver's file system."""
+    """A file per row: `content` at `root`/`segment`/`mark`c `number`.csv, made by the tasks that have the rows.
+
+    In a store that only Hadoop knows the driver's file system makes them, one after the other.
+    """
+    place = hadoop_path(df.sparkSession, root)[1].toUri().toString()
+    try:
+        FileSystem.from_uri(place)
+    except (ArrowInvalid, OSError):
+        write_files_from_driver(df, root)
+        return
+
+    def make(rows: Iterator[Row]) -> None:
+        store, top = FileSystem.from_uri(place)
+        made = set()
+        for row in rows:
+            folder = f"{top}/{row['segment']}"
+            if folder not in made:
+                store.create_dir(folder)
+                made.add(folder)
+            with store.open_output_stream(f"{folder}/{row['mark']}c {row['number']}.csv") as stream:
+                stream.write(row["content"].encode())
+
+    # rows of one file in one task
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    df.repartition(tasks, "segment", "mark", "number").sortWithinPartitions("number").foreachPartition(make)
+
+
+def write_files_from_driver(df: DataFrame, root: str) -> None:
     for row in df.orderBy("number").toLocalIterator():
         fs, place = hadoop_path(df.sparkSession, f"{root}/{row['segment']}/{row['mark']}c {row['number']}.csv")
         stream = fs.create(place, True)

@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+from catalog.render import write_files
 from tidegate.sources.listing import list_files
 
 
@@ -44,3 +45,29 @@ def test_no_call_per_object(spark, tmp_path, monkeypatch):
     found = list_files(spark, [str(folder) for folder in folders])
     assert found.count() == 100_002
     assert len(calls) < 3000
+
+
+def test_no_call_per_file_that_spark_does_not_read(spark, tmp_path, monkeypatch):
+    """3,000 empty and 3,000 hidden files cost a bounded number of calls into the JVM."""
+    for i in range(3000):
+        (tmp_path / f"é {i}\n.csv").write_bytes(b"")
+        (tmp_path / f"_{i}%20.csv").write_bytes(b"x")
+    client, calls = spark.sparkContext._gateway._gateway_client, []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *args, **options: calls.append(1) or send(*args, **options))
+    found = listed(spark, str(tmp_path))
+    assert len(calls) < 3000
+    want = [(f"é {i}\n.csv", 0, True, True) for i in range(3000)] + [(f"_{i}%20.csv", 1, False, True) for i in range(3000)]
+    assert found == sorted(want)
+
+
+def test_files_of_rows_are_made_by_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i, "a b", "_" if i % 2 else "", "" if i % 3 else f"{i}|ü\n") for i in range(2000)]
+    client, calls = spark.sparkContext._gateway._gateway_client, []
+    send = client.send_command
+    files = spark.createDataFrame(rows + rows[:10], "number int, segment string, mark string, content string")
+    monkeypatch.setattr(client, "send_command", lambda *args, **options: calls.append(1) or send(*args, **options))
+    write_files(files, f"{tmp_path}/x%20 y")
+    assert len(calls) < 1000
+    made = {path.name: path.read_text() for path in (tmp_path / "x%20 y" / "a b").iterdir() if not path.name.endswith(".crc")}
+    assert made == {f"{mark}c {number}.csv": content for number, _, mark, content in rows}
