@@ -2,8 +2,10 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import scans
+from tidegate.session import list_names, shared_root
 from tidegate.sources.lines import read_lines
 
 
@@ -28,3 +30,17 @@ def test_large_splits_end_inside_texts(spark, tmp_path, monkeypatch):
     want = duckdb.sql(scans.ORACLES["scan_quoted_breaks"]).df()
     key = lambda df: sorted(map(repr, df[list(want.columns)].astype(object).where(df.notna(), None).values.tolist()))
     assert key(got) == key(want)
+
+
+def test_one_rendering_of_the_documents_is_kept(spark, tmp_path):
+    """The files of the first two ways are gone when those of the third are made, and their rows are there."""
+    rows = [(i, f"text {i}\n" * 40, "en", "s", i) for i in range(200)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, schema).repartition(12).write.parquet(str(tmp_path / "documents.parquet"))
+    root = f"{shared_root(spark)}/tidegate"
+    before = set(list_names(spark, root))
+    found = scans.scan_quoted_breaks(spark, str(tmp_path))
+    kept = [name.rsplit("-", 1)[0] for name in set(list_names(spark, root)) - before]
+    assert [name for name in kept if name.startswith("documents")] == ["documents-dat"]
+    assert {(r["way"], r["n"]) for r in found.groupBy("way").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        (way, 400) for way in ("batch", "stream", "dat")}
